@@ -7,16 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import table
+from tallyloom.llm import langid, quality
+from tallyloom.llm.common import fold_of, table
 from tallyloom.llm.near_dedup import near_dedup
 
 
+def op3_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.classify(docs, labels, threshold=0.3, held_out=fold_of("doc_id", 5) == 0)
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_subword_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"), held_out=fold_of("doc_id", 4) == 2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_nbsvm_quality": op3_nbsvm_quality,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op8_subword_langid": op8_subword_langid,
 }
 
 SQL: dict[str, str] = {}
