@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import langid, quality
+from tallyloom.llm import langid, packing, quality
 from tallyloom.llm.common import fold_of, table
 from tallyloom.llm.near_dedup import near_dedup
 
@@ -21,6 +21,16 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op7_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def op8_subword_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"), held_out=fold_of("doc_id", 4) == 2)
 
@@ -28,6 +38,7 @@ def op8_subword_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_nbsvm_quality": op3_nbsvm_quality,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op7_ordered_packing": op7_ordered_packing,
     "op8_subword_langid": op8_subword_langid,
 }
 
