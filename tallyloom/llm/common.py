@@ -39,3 +39,10 @@ def arrow_rows(spark: SparkSession, rows: int = 2000) -> None:
 def fold_of(column: str, parts: int):
     """crc32 of the id as text, modulo ``parts``."""
     return F.crc32(F.col(column).cast("string")) % parts
+
+
+def tokenizer_file(name: str) -> str:
+    """Path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))

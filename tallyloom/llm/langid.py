@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from tallyloom.llm.common import arrow_rows
 from tallyloom.llm.ngrams import hashed, text_blocks
@@ -142,11 +143,11 @@ def train(docs: DataFrame, max_docs: int = TRAIN_DOCS) -> Model | None:
     return fit([v.values.to_numpy() for v in got["grams"]], got["lang"].to_pylist())
 
 
-def _predicted(shared):
+def _predicted(shared, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            raw, offsets, nulls = buffers(batch.column(batch.num_columns - 1))
+            raw, offsets, nulls = buffers(batch.column(text_at))
             n = batch.num_rows
             pred, score, reject = [UNKNOWN] * n, np.zeros(n), np.ones(n, bool)
             total, count, letter = 0.0, 0, False
@@ -162,12 +163,23 @@ def _predicted(shared):
                         k = int(p.argmax())
                         pred[i], score[i], reject[i] = model.langs[k], p[k], p[k] < model.reject
                     total, count, letter = 0.0, 0, False
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(pred), pa.array(score), pa.array(reject)], names=[*batch.schema.names[:-1], "lang_pred", "score", "rejected"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred), pa.array(score), pa.array(reject)], names=[*batch.schema.names, *RESULT])
 
     return run
 
 
+RESULT = ("__lang_pred", "__lang_score", "__lang_rejected")
+
+
+def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """All columns of ``docs`` and those of RESULT, without a shuffle."""
+    spark = docs.sparkSession
+    arrow_rows(spark)
+    rows = docs.withColumn(text_col, F.col(text_col).cast("string"))
+    schema = StructType([*rows.schema.fields, StructField(RESULT[0], StringType()), StructField(RESULT[1], DoubleType()), StructField(RESULT[2], BooleanType())])
+    return rows.mapInArrow(_predicted(spark.sparkContext.broadcast(model), rows.columns.index(text_col)), schema)
+
+
 def identify(docs: DataFrame, held_out=None, max_docs: int = TRAIN_DOCS) -> DataFrame:
     """doc_id, held_out, lang_pred, score and rejected for each row of ``docs``.
 
@@ -175,11 +187,18 @@ def identify(docs: DataFrame, held_out=None, max_docs: int = TRAIN_DOCS) -> Data
     gets ``und``, score 0 and is rejected; so does every text if no row can be learned from.  Very long texts are
     read in blocks, whole.
     """
-    spark = docs.sparkSession
-    arrow_rows(spark)
     test = F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))
     model = train(docs.where(~test), max_docs)
-    shared = spark.sparkContext.broadcast(model)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("__text"))
-    out = rows.mapInArrow(_predicted(shared), "doc_id long, lang_pred string, score double, rejected boolean")
-    return out.select("doc_id", test.alias("held_out"), "lang_pred", "score", "rejected")
+    out = predict(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
+    return out.select("doc_id", test.alias("held_out"), *[F.col(a).alias(b) for a, b in zip(RESULT, ("lang_pred", "score", "rejected"), strict=True)])
+
+
+def keep_identified(docs: DataFrame, max_docs: int = TRAIN_DOCS) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with their columns; trained on their own languages.
+
+    If no row can be learned from, nothing is rejected but texts without a letter cannot be told, so all rows stay.
+    """
+    model = train(docs, max_docs)
+    if model is None:
+        return docs
+    return predict(docs, model).where(~F.col(RESULT[2])).select(*docs.columns)

@@ -251,3 +251,18 @@ def near_dedup(docs: DataFrame, k: int = 4, percent: int = 80, m: int = 101, row
     out = sketch.select("doc_id", "n_shingles", "fp1", "fp2").join(of_set, ["n_shingles", "fp1", "fp2"], "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` whose id is the least of its group, with their columns; of rows that repeat an id one stays.
+
+    Rows without an id and texts without words all stay.
+    """
+    found = near_dedup(docs, **options).select("doc_id", "kept")
+    gone = found.where("not kept").select("doc_id").distinct()
+    left = docs.join(gone.select(F.col("doc_id").alias("__gone")), F.col("doc_id") == F.col("__gone"), "left_anti")
+    again = stored(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("__again")), "again")
+    if again.isEmpty():
+        return left
+    repeated = F.col("doc_id") == F.col("__again")
+    return left.join(again, repeated, "left_anti").unionByName(left.join(again, repeated, "left_semi").dropDuplicates(["doc_id"]))

@@ -30,8 +30,8 @@ from tallyloom.llm.common import arrow_rows
 SIZE = 4096
 END_ID = 2
 BLOCK_TOKENS = 1 << 18
-SENTENCE_PRICE = 8
-FORCED_PRICE = 32
+SENTENCE_PRICE = 2
+FORCED_PRICE = 8
 MAX_WORDS = 600_000
 COLUMNS = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallyloom.llm.common import arrow_rows
 from tallyloom.llm.ngrams import hashed, text_blocks
@@ -215,34 +216,40 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS) -> Mod
     return fit(rows, got["label"].to_numpy())
 
 
-def _scored(shared):
+def _scored(shared, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, make = shared.value, Features()
         for batch in batches:
-            scores = [0.5 if model is None else model.score(x) for x in make.rows(batch.column(batch.num_columns - 1))]
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64())], names=[*batch.schema.names[:-1], "score"])
+            scores = [0.5 if model is None else model.score(x) for x in make.rows(batch.column(text_at))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, RESULT])
 
     return run
 
 
-def score(docs: DataFrame, model: Model | None, keep: dict[str, str], text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` (name to SQL type) of each row, and its score in 0..1; a null text counts as empty, no model gives 0.5."""
+RESULT = "__quality_score"
+
+
+def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """All columns of ``docs`` and the score in RESULT (0..1), without a shuffle; a null text counts as empty, no model gives 0.5."""
     spark = docs.sparkSession
     arrow_rows(spark)
-    shared = spark.sparkContext.broadcast(model)
-    schema = ", ".join([*(f"`{k}` {v}" for k, v in keep.items()), "score double"])
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text")
-    return docs.select(*[F.col(k) for k in keep], text).mapInArrow(_scored(shared), schema)
+    rows = docs.withColumn(text_col, F.col(text_col).cast("string"))
+    schema = StructType([*rows.schema.fields, StructField(RESULT, DoubleType())])
+    return rows.mapInArrow(_scored(spark.sparkContext.broadcast(model), rows.columns.index(text_col)), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_docs: int = TRAIN_DOCS, held_out=None) -> DataFrame:
     """doc_id, held_out, score and predicted (1 if score >= threshold) for each row of ``docs``.
 
     ``held_out``: a Column over doc_id; labels of those rows are not learned from.  Only the text is scored.
+    Of labels that repeat an id the greatest counts; labels other than 0 and 1 are passed over.
     """
     test = F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))
     known = labels.select("doc_id", "quality").where(~test)
-    model = train(docs, known, max_docs)
-    rows = score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model, {"doc_id": "long"})
-    return rows.select("doc_id", test.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    rows = score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), train(docs, known, max_docs))
+    return rows.select("doc_id", test.alias("held_out"), F.col(RESULT).alias("score"), (F.col(RESULT) >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_docs: int = TRAIN_DOCS) -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more, with their columns."""
+    return score(docs, train(docs, labels, max_docs)).where(F.col(RESULT) >= threshold).select(*docs.columns)

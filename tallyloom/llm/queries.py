@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import langid, packing, quality
-from tallyloom.llm.common import fold_of, table
+from tallyloom.llm.common import fold_of, table, tokenizer_file
 from tallyloom.llm.near_dedup import near_dedup
 
 
@@ -21,12 +21,6 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
 
-def tokenizer_file(name: str) -> str:
-    import public_tokenizers
-
-    return str(public_tokenizers.path(name))
-
-
 def op7_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
