@@ -7,9 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import langid, packing, quality
+from tallyloom.llm import chat, langid, packing, quality, urls
 from tallyloom.llm.common import fold_of, table, tokenizer_file
 from tallyloom.llm.near_dedup import near_dedup
+from tallyloom.llm.norm_buckets import norm_bucketed
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = "</s>[INST] ok [/INST]"
+    more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(planted).alias("text"))
+    return chat.digests(chat.format_chats(turns.unionByName(more)))
 
 
 def op3_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +29,10 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return norm_bucketed(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op7_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
@@ -29,11 +41,69 @@ def op8_subword_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"), held_out=fold_of("doc_id", 4) == 2)
 
 
+RULES = [
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+
+
+def op10_url_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_chat_format": op2_chat_format,
     "op3_nbsvm_quality": op3_nbsvm_quality,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op6_norm_buckets": op6_norm_buckets,
     "op7_ordered_packing": op7_ordered_packing,
     "op8_subword_langid": op8_subword_langid,
+    "op10_url_markov": op10_url_markov,
 }
 
-SQL: dict[str, str] = {}
+#: op2: the escaped text is counted by adding one character for each control string and each backslash
+_OP2 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *, length(role) + length(text) AS plain,
+    len(string_split(role || text, chr(92))) - 1
+    + len(regexp_extract_all(role, '<s>|</s>|<\|im_start\|>|<\|im_sep\|>|<\|im_end\|>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>'))
+    + len(regexp_extract_all(text, '<s>|</s>|<\|im_start\|>|<\|im_sep\|>|<\|im_end\|>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>')) AS escapes
+  FROM turns
+), chats AS (
+  SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    (7 + sum(plain + escapes + 32))::BIGINT AS formatted_chars,
+    string_agg(role, ',' ORDER BY turn, role, text) AS roles
+  FROM sized GROUP BY conv_id
+)
+SELECT conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars,
+  regexp_full_match(roles, '(system,)?user,assistant(,user,assistant)*') AS valid,
+  CASE WHEN regexp_full_match(roles, '(system,)?user,assistant(,user,assistant)*') THEN 'answered'
+       WHEN regexp_full_match(roles, '(system,)?user(,assistant,user)*') THEN 'asked'
+       WHEN roles = 'system' THEN 'ready' ELSE 'failed' END AS end_state
+FROM chats
+""".replace("\\\\", "\\")
+
+_OP6 = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::DOUBLE) AS w
+  FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(embedding) > 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.w, c.w)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+SQL: dict[str, str] = {"op6_norm_buckets": _OP6, "op2_chat_format": _OP2}
