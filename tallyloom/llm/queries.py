@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, langid, packing, quality, urls
+from tallyloom.llm import chat, kmeans_tree, langid, packing, quality, urls
 from tallyloom.llm.common import fold_of, table, tokenizer_file
 from tallyloom.llm.near_dedup import near_dedup
 from tallyloom.llm.norm_buckets import norm_bucketed
@@ -29,6 +29,10 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_tree.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op6_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return norm_bucketed(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_format": op2_chat_format,
     "op3_nbsvm_quality": op3_nbsvm_quality,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op5_kmeans_tree": op5_kmeans_tree,
     "op6_norm_buckets": op6_norm_buckets,
     "op7_ordered_packing": op7_ordered_packing,
     "op8_subword_langid": op8_subword_langid,
