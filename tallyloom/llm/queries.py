@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, kmeans_tree, langid, packing, quality, urls
+from tallyloom.llm import chat, kmeans_tree, langid, licenses, packing, piece_fst, quality, urls
 from tallyloom.llm.common import fold_of, table, tokenizer_file
 from tallyloom.llm.near_dedup import near_dedup
 from tallyloom.llm.norm_buckets import norm_bucketed
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.withColumn("dice", F.round("dice", 6))
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = "</s>[INST] ok [/INST]"
@@ -45,6 +50,10 @@ def op8_subword_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"), held_out=fold_of("doc_id", 4) == 2)
 
 
+def op9_piece_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_fst.encode_documents(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 RULES = [
     urls.Rule("allow", "org", "/"),
     urls.Rule("block", "example.org", "/es/"),
@@ -59,6 +68,7 @@ def op10_url_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_chat_format": op2_chat_format,
     "op3_nbsvm_quality": op3_nbsvm_quality,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
@@ -66,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_norm_buckets": op6_norm_buckets,
     "op7_ordered_packing": op7_ordered_packing,
     "op8_subword_langid": op8_subword_langid,
+    "op9_piece_fst": op9_piece_fst,
     "op10_url_markov": op10_url_markov,
 }
 
@@ -98,6 +109,45 @@ SELECT conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars,
 FROM chats
 """.replace("\\\\", "\\")
 
+def _op1_sql() -> str:
+    texts = [(n, i, t.replace("'", "''")) for n, ts in sorted(licenses.TEMPLATES.items()) for i, t in enumerate(ts)]
+    values = ", ".join(f"('{n}', {i}, '{t}')" for n, i, t in texts)
+    t = licenses.THRESHOLD
+    return f"""
+WITH templates(license, template, body) AS (VALUES {values}),
+lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE text IS NOT NULL
+), normal AS (
+  SELECT doc_id, pos, list_filter(string_split(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x09-\\x0d -/:-@\\[-`{{-~]+', ' ', 'g'), ' '), lambda x: x <> '') AS words FROM lines
+), filled AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS line_no,
+    pos - lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) > 1 AS gap FROM normal WHERE len(words) > 0
+), parted AS (
+  SELECT *, sum(coalesce(gap, false)::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS par_no FROM filled
+), units AS (
+  SELECT doc_id, 'line' AS unit, line_no AS unit_no, words FROM parted
+  UNION ALL SELECT doc_id, 'paragraph', par_no, flatten(list(words ORDER BY pos)) FROM parted GROUP BY doc_id, par_no HAVING count(*) > 1
+  UNION ALL SELECT doc_id, 'text', 0, flatten(list(words ORDER BY pos)) FROM parted GROUP BY doc_id HAVING count(DISTINCT par_no) > 1
+), sized AS (SELECT *, len(words) - 1 AS n FROM units WHERE len(words) > 1),
+t_words AS (
+  SELECT license, template, list_filter(string_split(regexp_replace(translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x09-\\x0d -/:-@\\[-`{{-~]+', ' ', 'g'), ' '), lambda x: x <> '') AS words FROM templates
+), t_grams AS (
+  SELECT license, template, len(words) - 1 AS m, unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS gram FROM t_words
+), t_counts AS (SELECT license, template, m, gram, count(*) AS c FROM t_grams GROUP BY ALL),
+near AS (SELECT * FROM sized WHERE n * {t} / (2 - {t}) <= (SELECT max(m) FROM t_grams)),
+grams AS (
+  SELECT doc_id, unit, unit_no, n, unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS gram FROM near
+), counts AS (SELECT doc_id, unit, unit_no, n, gram, count(*) AS c FROM grams GROUP BY ALL),
+dices AS (
+  SELECT doc_id, unit, unit_no, n, license, template, 2 * sum(least(a.c, b.c))::DOUBLE / (n + m) AS dice
+  FROM counts a JOIN t_counts b USING (gram) GROUP BY doc_id, unit, unit_no, n, license, template, m
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, unit, unit_no ORDER BY dice DESC, license, template) AS r FROM dices WHERE dice >= {t}
+)
+SELECT doc_id, unit, unit_no::BIGINT AS unit_no, license, template::INTEGER AS template, round(dice, 6) AS dice, n::BIGINT AS n_bigrams FROM ranked WHERE r = 1
+"""
+
+
 _OP6 = """
 WITH v AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::DOUBLE) AS w
@@ -111,4 +161,4 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-SQL: dict[str, str] = {"op6_norm_buckets": _OP6, "op2_chat_format": _OP2}
+SQL: dict[str, str] = {"op1_license_scan": _op1_sql(), "op6_norm_buckets": _OP6, "op2_chat_format": _OP2}

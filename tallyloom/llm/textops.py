@@ -84,8 +84,8 @@ def blocks(raw: np.ndarray, offsets: np.ndarray, size: int = BLOCK) -> Iterator[
         at = end
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of all rows in order, and the bounds (n + 1) of each row's words among them."""
+def words(raw: np.ndarray, offsets: np.ndarray, positions: bool = False) -> tuple[np.ndarray, ...]:
+    """Word hashes of all rows in order, and the bounds (n + 1) of each row's words among them; on request each word's first byte."""
     hashes, firsts = [], []
     for lo, hi in blocks(raw, offsets):
         piece = raw[lo:hi]
@@ -110,9 +110,11 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         hashes.append(mix(h))
         firsts.append(starts + lo)
     if not hashes:
-        return np.zeros(0, U64), np.zeros(len(offsets), np.int64)
+        none = np.zeros(0, U64), np.zeros(len(offsets), np.int64)
+        return (*none, np.zeros(0, np.int64)) if positions else none
     first = np.concatenate(firsts)
-    return np.concatenate(hashes), np.searchsorted(first, offsets, "left")
+    found = np.concatenate(hashes), np.searchsorted(first, offsets, "left")
+    return (*found, first) if positions else found
 
 
 _MULTIPLIERS = mix(np.arange(101, 165, dtype=U64)) | U64(1)
