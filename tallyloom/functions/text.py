@@ -9,8 +9,12 @@ WS = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{2
 WORD = r"[\p{L}\p{N}_]"
 
 
+#: every character that WS stands for
+BLANKS = "".join(map(chr, [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^{WS}+|{WS}+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def normalize_spaces(c: Column) -> Column:
@@ -144,8 +148,11 @@ def tokens(c: Column, stop: list[str] | None = None) -> Column:
 
 
 def ngrams(words: Column, n: int) -> Column:
-    at = F.sequence(F.lit(0), F.size(words) - n)
-    return F.when(F.size(words) >= n, F.transform(at, lambda i: F.array_join(F.slice(words, i + 1, n), " "))).otherwise(F.array().cast("array<string>"))
+    """Runs of n words, joined by spaces; the array is read n times whatever its length."""
+    out = words
+    for k in range(2, n + 1):
+        out = F.zip_with(out, F.slice(words, F.lit(k), F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.filter(out, lambda x: x.isNotNull())
 
 
 def estimate_tokens(c: Column) -> Column:

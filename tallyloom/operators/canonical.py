@@ -51,7 +51,8 @@ def product_family(model: Column, description: Column, model_rules: list[tuple[s
     parts = F.split(F.upper(F.coalesce(model, F.lit(""))), r"\|")
     text = F.coalesce(description, F.lit(""))
     out = None
-    tests = [(F.exists(parts, lambda x, p=p.upper(): F.trim(x).startswith(p)), f, "MODEL_RULE") for p, f in model_rules]
+    begins = lambda p: lambda x: F.trim(x).startswith(p.upper())
+    tests = [(F.exists(parts, begins(p)), f, "MODEL_RULE") for p, f in model_rules]
     tests += [(text.rlike(f"(?i){p}"), f, "DESCRIPTION_RULE") for p, f in valid_patterns(description_rules)]
     for test, family, basis in tests:
         hit = F.struct(F.lit(family).alias("family"), F.lit(basis).alias("basis"))
