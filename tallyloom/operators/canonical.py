@@ -24,10 +24,10 @@ def canonical_makes(rows: DataFrame, key: str, column: str, aliases: DataFrame)
     ``aliases``: (alias, canonical).  basis: ALIAS if an alias took part, else COSMETIC if the result equals the input, else RULE.
     Spellings are settled in a first pass over all rows.
     """
-    parts = rows.select(key, F.col(column).alias("__raw"), F.explode(make_parts(F.col(column))).alias("part")).withColumn("k", collapse_key(F.col("part")))
-    shown = display_spellings(parts, "part").select("key", "display").withColumnRenamed("key", "k")
-    known = aliases.select(collapse_key(F.col("alias")).alias("k"), F.col("canonical")).where("k != ''").groupBy("k").agg(F.max("canonical").alias("canonical"))
-    told = parts.join(shown, "k", "left").join(known, "k", "left").withColumn("final", F.coalesce("canonical", "display", "part"))
+    parts = rows.select(key, F.col(column).alias("__raw"), F.explode(make_parts(F.col(column))).alias("part")).withColumn("__k", collapse_key(F.col("part")))
+    shown = display_spellings(parts, "part").select(F.col("key").alias("__k"), "display")
+    known = aliases.select(collapse_key(F.col("alias")).alias("__k"), F.col("canonical")).where("__k != ''").groupBy("__k").agg(F.max("canonical").alias("canonical"))
+    told = parts.join(shown, "__k", "left").join(known, "__k", "left").withColumn("final", F.coalesce("canonical", "display", "part"))
     out = told.groupBy(key, "__raw").agg(F.array_join(F.array_sort(F.collect_set("final")), "|").alias("canonical"), F.bool_or(F.col("canonical").isNotNull()).alias("by_alias"))
     basis = F.when(F.col("by_alias"), "ALIAS").when(F.col("canonical") == F.col("__raw"), "COSMETIC").otherwise("RULE")
     return out.select(key, "canonical", basis.alias("basis"))

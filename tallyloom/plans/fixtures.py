@@ -1 +1,96 @@
-"""Queries."""
+"""Queries over small invented texts and word layouts, with the expected rows as their SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyloom.functions import text as T
+from tallyloom.operators import layout, lines
+from tallyloom.plans import query
+from tallyloom.sources.tables import table
+
+OFFER = """Quotation No: Q24W10132R3
+Date: 05.06.2025
+To
+Kind Attention: Mr. A. Sample
+Blue Harbour Works
+Subject: Offer for analysers
+Sr No
+Description
+Qty
+Unit Price
+Total Price
+1
+Gas analyser
+Make: FERROX
+Model: GX 20
+2 Nos
+10,000
+20,000
+2
+Sample pump
+150
+Meters
+Included
+5,500/-
+Note:
+1. Prices are firm
+2. Freight is extra
+3
+Spare filter
+Grand Total
+25,500
+"""
+
+
+def _offer(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([("offer.txt", OFFER), ("empty.txt", "")], "source_path string, text string")
+
+
+@query("""
+SELECT * FROM (VALUES ('offer.txt', '1', 'Gas analyser', 'FERROX', 'GX 20', 2.0::DOUBLE, 'Nos', 10000.0::DOUBLE, 20000.0::DOUBLE, 'HIGH'),
+  ('offer.txt', '2', 'Sample pump', '', '', 150.0, 'Meters', NULL, 5500.0, 'HIGH'), ('offer.txt', '3', 'Spare filter', '', '', NULL, '', NULL, NULL, 'LOW'))
+  t(source_path, item_no, description, make, model, quantity, unit, unit_price, total_price, confidence)""")
+def q_boq_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = lines.parse_documents(_offer(spark))
+    return lines.items_of(parsed).select("source_path", "item_no", "description", "make", "model", "quantity", "unit", "unit_price", "total_price", "confidence")
+
+
+@query("""
+SELECT * FROM (VALUES ('offer.txt', 'Blue Harbour Works', 'Offer for analysers', 'Q24W10132R3', '05.06.2025', 25500.0::DOUBLE, 'HIGH'), ('empty.txt', '', '', '', '', NULL, 'LOW'))
+  t(source_path, customer, subject, quotation_number, quotation_date, grand_total, document_confidence)""")
+def q_label_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = lines.parse_documents(spark.createDataFrame([("offer.txt", OFFER.replace("Grand Total\n25,500", "Grand Total: 25,500")), ("empty.txt", "")], "source_path string, text string"))
+    return parsed.select("source_path", "customer", "subject", "quotation_number", "quotation_date", "grand_total", "document_confidence")
+
+
+@query("""
+SELECT * FROM (VALUES ('offer.txt', 'item', 'ITEM_CONFIDENCE_LOW'), ('offer.txt', 'document', 'ITEM_3_NO_PRICE_VALUES'), ('empty.txt', 'document', 'CUSTOMER_MISSING'), ('empty.txt', 'document', 'SUBJECT_MISSING'), ('empty.txt', 'document', 'TABLE_MISSING')) t(source_path, kind, reason)""")
+def q_parser_review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.review_of(lines.parse_documents(_offer(spark)))
+
+
+PAGE = [("1", 0, 100), ("Widget", 20, 100), ("Assembly", 55, 100), ("1,500", 120, 100), ("2", 0, 120), ("Gasket", 20, 120), ("Set", 55, 120), ("2,000", 120, 120), ("3", 0, 140), ("Bracket", 20, 140), ("Kit", 55, 140), ("3,250", 120, 140)]
+
+
+@query("""
+SELECT * FROM (VALUES (7, 1, '1', 'Widget Assembly', '1,500'), (7, 2, '2', 'Gasket Set', '2,000'), (7, 3, '3', 'Bracket Kit', '3,250')) t(page, row_seq, item_no, description, unit_price)""")
+def q_layout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spark.createDataFrame([(7, float(x), float(y), float(x + 5 * len(t)), float(y + 8), t) for t, x, y in PAGE], "page int, x0 double, y0 double, x1 double, y1 double, text string")
+    return layout.layout_rows(words).select("page", "row_seq", "item_no", "description", "unit_price")
+
+
+@query("""
+SELECT * FROM (VALUES ('Section 2: Notes & Clarifications', true, false), ('SECTION 2: TECHNICAL LITERATURE', false, false), ('Terms and Conditions', true, false), ('TOTAL', false, true), ('Sub Total', false, true), ('Total Conductivity Analyser', false, false)) t(line, after_table, total)""")
+def q_table_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ["Section 2: Notes & Clarifications", "SECTION 2: TECHNICAL LITERATURE", "Terms and Conditions", "TOTAL", "Sub Total", "Total Conductivity Analyser"]
+    return spark.createDataFrame([(x,) for x in rows], "line string").select("line", T.is_after_table_heading(F.col("line")).alias("after_table"), T.is_total_label(F.col("line")).alias("total"))
+
+
+@query("""
+WITH l AS (SELECT conv_id, turn, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS ls FROM conversations WHERE role = 'user')
+SELECT conv_id, turn, ls[1] AS first_line, len(ls) AS n_lines FROM l""")
+def q_first_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines_ = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
+    return table(spark, sf_dir, "conversations").where("role = 'user'").select("conv_id", "turn", F.get(lines_, 0).alias("first_line"), F.size(lines_).cast("long").alias("n_lines"))
