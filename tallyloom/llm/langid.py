@@ -29,7 +29,7 @@ TRAIN_DOCS = 4000
 TRAIN_GRAMS = 600
 UNKNOWN = "und"
 REJECT_QUANTILE = 0.001
-REJECT_AT_MOST = 0.5
+REJECT_AT_MOST = 0.35
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[65:91] = True
