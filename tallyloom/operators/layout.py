@@ -232,6 +232,87 @@ def rows_of_page(words: list[Word], rulings: list[float] | None = None) -> list[
     return out
 
 
+def find_header_window(rows: list[list[str]], first: int = 6, span: int = 5) -> tuple[int, int, dict[int, str]] | None:
+    """(start, span, field by column) of the table rows that together name a description and a price.
+
+    Windows of up to ``span`` rows from the first ``first`` rows are joined column by column; one that holds money is no header.  The most
+    fields win, then the shorter, then the earlier window.
+    """
+    best: tuple[tuple[int, int, int], dict[int, str]] | None = None
+    width = max(map(len, rows), default=0)
+    for start in range(min(first, len(rows))):
+        for n in range(1, min(span, len(rows) - start) + 1):
+            window = rows[start : start + n]
+            columns = [[(r[c] or "").strip() for r in window if c < len(r)] for c in range(width)]
+            joined = [" ".join(filter(None, c)) for c in columns]
+            if any(x and strict_number(x) is not None for c in columns for x in c) or any(x and strict_number(x) is not None for x in joined):
+                continue
+            fields = {c: f for c, x in enumerate(joined) if x and (f := header_field(x))}
+            if "unit_price" not in fields.values():
+                fields = {c: f for c, f in fields.items() if not (f == "total_price" and normal(joined[c]) == "total")}
+            found = set(fields.values())
+            if "description" in found and found & {"unit_price", "total_price"}:
+                key = (len(found), -n, -start)
+                if best is None or key > best[0]:
+                    best = (key, fields)
+    return (-best[0][2], -best[0][1], best[1]) if best else None
+
+
+def ruling_lines(marks: list[tuple[float, float, float, float]], x0: float, x1: float, description: Band | None = None) -> list[float]:
+    """Heights of row dividers among drawn marks (x0, y0, x1, y1): lines and hairline boxes.
+
+    A divider spans 0.6 of the table in one piece; marks over 0.8 of the description column alone count if three or more repeat.  Heights within
+    1.5 are one; marks parted by more than 8 are separate underlines.
+    """
+    flat = sorted(((y0 + y1) / 2, a, b) for a, y0, b, y1 in marks if abs(y1 - y0) <= 1.5 and b > a)
+    levels: list[tuple[float, list[list[float]]]] = []
+    for y, a, b in flat:
+        if not levels or y - levels[-1][0] > 1.5:
+            levels.append((y, []))
+        levels[-1][1].append([a, b])
+    strong, weak = [], []
+    for y, spans in levels:
+        groups: list[list[float]] = []
+        for a, b in sorted(spans):
+            if groups and a <= groups[-1][1] + 8:
+                groups[-1][1] = max(groups[-1][1], b)
+            else:
+                groups.append([a, b])
+        wide = [g for g in groups if g[1] - g[0] >= 20]
+        if len(wide) != 1:
+            continue
+        a, b = wide[0]
+        if min(b, x1) - max(a, x0) >= 0.6 * (x1 - x0):
+            strong.append(y)
+        elif description and min(b, description.x1) - max(a, description.x0) >= 0.8 * (description.x1 - description.x0):
+            weak.append(y)
+    return sorted(strong + (weak if len(weak) >= 3 else []))
+
+
+def spanned_cells(heights: list[float], baseline: float) -> list[bool]:
+    """Which price cells are higher than 1.4 rows, and so belong to several."""
+    return [h > CELL_SPAN * baseline for h in heights]
+
+
+def continues(before: list[Band], after: list[Band], page_gap: int, tolerance: float = 6.0) -> bool:
+    """Whether a table on the next page goes on: the same fields in bands that agree within ``tolerance``."""
+    a, b = {x.field: x for x in before}, {x.field: x for x in after}
+    return page_gap == 1 and set(a) == set(b) and all(abs(a[f].x0 - b[f].x0) <= tolerance and abs(a[f].x1 - b[f].x1) <= tolerance for f in a)
+
+
+def merge_bare_rows(rows: list[dict[str, str]]) -> list[dict[str, str]]:
+    """Rows without number and price become part of the row before; at most 200 lines or 8,000 characters gather in one."""
+    out: list[dict[str, str]] = []
+    for r in rows:
+        bare = not any(r.get(f) for f in ("item_no", "unit_price", "total_price"))
+        room = out and len(out[-1].get("description", "")) + len(r.get("description", "")) <= 8000 and out[-1].get("description", "").count("\n") < 200
+        if bare and room:
+            out[-1]["description"] = "\n".join(filter(None, [out[-1].get("description"), r.get("description")]))
+        else:
+            out.append(dict(r))
+    return out
+
+
 FIELDS = ["item_no", "description", "quantity", "unit", "unit_price", "total_price", "other"]
 
 
