@@ -52,7 +52,7 @@ def resolve_date(export: Column, document: Column) -> Column:
     date = F.when(e != "", e).otherwise(d["date"])
     return F.struct(
         date.alias("date"),
-        F.when(e != "", "ODOO_ORDER").when(d["date"] != "", "PARSED_DOC").otherwise("NONE").alias("source"),
+        F.when(e != "", "ERP_ORDER").when(d["date"] != "", "PARSED_DOC").otherwise("NONE").alias("source"),
         ((e == "") & d["ambiguous"]).alias("ambiguous"),
         F.substring(date, 1, 4).alias("year"),
         F.substring(date, 1, 7).alias("month"),

@@ -27,7 +27,7 @@ def build(items: DataFrame, documents: DataFrame, orders: DataFrame) -> DataFram
     rows = rows.join(keyed, "matched_order_id", "left").withColumn("data_source", F.lit("ATTACHMENT_ITEM")).withColumn("order_id", F.col("matched_order_id"))
     links = documents.where(F.coalesce(F.col("matched_order_id"), F.lit("")) != "")
     rest = joins.unlinked(orders.withColumn("order_id", F.col("order_id").cast("string")), "order_id", links, "matched_order_id")
-    rest = rest.select(F.lit("ODOO_ORDER_ONLY").alias("data_source"), "order_id", "order_status", "order_date", F.col("partner_id").alias("matched_id"))
+    rest = rest.select(F.lit("ERP_ORDER_ONLY").alias("data_source"), "order_id", "order_status", "order_date", F.col("partner_id").alias("matched_id"))
     both = rows.unionByName(rest, allowMissingColumns=True)
     prices = money.resolve_prices(F.col("unit_price").cast("double"), F.col("total_price").cast("double"), F.col("quantity").cast("double"))
     date = dates.resolve_date(F.col("order_date").cast("string"), F.col("quotation_date"))

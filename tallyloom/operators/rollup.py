@@ -39,7 +39,7 @@ def capped_list(value: Column, most: int = LISTED) -> Column:
 
 
 def source_kind(kind: Column) -> Column:
-    return F.when(F.bool_or(kind == "ATTACHMENT_ITEM"), "ATTACHMENT_ITEM").when(F.bool_and(kind == "ODOO_ORDER_ONLY"), "ODOO_ORDER_ONLY").otherwise(F.min(F.when(kind != "", kind)))
+    return F.when(F.bool_or(kind == "ATTACHMENT_ITEM"), "ATTACHMENT_ITEM").when(F.bool_and(kind == "ERP_ORDER_ONLY"), "ERP_ORDER_ONLY").otherwise(F.min(F.when(kind != "", kind)))
 
 
 def roll_up(items: DataFrame, key: str, total: str, basis: str, confidence: str, pos: str, lists: list[str], scalars: list[str], dated: str, kind: str | None = None) -> DataFrame:

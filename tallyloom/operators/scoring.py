@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.operators.ranking import with_rank
+
 
 def dominant_fill(rows: DataFrame, group: str, column: str, least: int = 3, share: float = 0.8) -> DataFrame:
     """``rows`` with ``filled``: blanks get the group's value if ``least`` rows are labelled and ``share`` of them agree."""
@@ -62,8 +64,8 @@ def strided_sample(rows: DataFrame, order: str, n: int) -> DataFrame:
     """Every (count // n)-th row in order, n at most."""
     total = rows.count()
     step = max(1, total // n)
-    numbered = rows.withColumn("__r", F.row_number().over(Window.orderBy(order)) - 1)
-    return numbered.where((F.col("__r") % step == 0) & (F.col("__r") < step * n)).drop("__r")
+    numbered = with_rank(rows, [order], "__r")
+    return numbered.where(((F.col("__r") - 1) % step == 0) & (F.col("__r") <= step * n)).drop("__r")
 
 
 def stratified_sample(rows: DataFrame, stratum: str, key: str, n: int, seed: int) -> DataFrame:

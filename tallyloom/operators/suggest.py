@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import makes
 from tallyloom.functions import text as T
 from tallyloom.functions.similarity import sequence_ratio
+from tallyloom.operators.ranking import with_rank
 
 
 def phrase_frequencies(rows: DataFrame, text: str, stop: list[str], most: int | None = 60) -> DataFrame:
@@ -21,7 +22,7 @@ def phrase_frequencies(rows: DataFrame, text: str, stop: list[str], most: int |
 def ranked_spellings(rows: DataFrame, column: str) -> DataFrame:
     """(spelling, n, rank) by falling count, then alphabetically.  Spellings, not rows, are ranked."""
     counts = rows.where(F.coalesce(F.col(column), F.lit("")) != "").groupBy(F.col(column).alias("spelling")).agg(F.count("*").alias("n"))
-    return counts.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "spelling")))
+    return with_rank(counts, [F.desc("n"), "spelling"])
 
 
 def alias_pairs(spellings: DataFrame, least: float = 0.75) -> DataFrame:

@@ -71,12 +71,12 @@ def q_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT 'ATTACHMENT_ITEM' AS data_source, l_orderkey AS order_id, l_linenumber::VARCHAR AS item_no, l_extendedprice AS total, NULL::VARCHAR AS status FROM lineitem
-UNION ALL SELECT 'ODOO_ORDER_ONLY', o_orderkey, NULL, o_totalprice, o_orderstatus FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""")
+UNION ALL SELECT 'ERP_ORDER_ONLY', o_orderkey, NULL, o_totalprice, o_orderstatus FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""")
 def q_item_bank_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem")
     mine = items.select(F.lit("ATTACHMENT_ITEM").alias("data_source"), F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").cast("string").alias("item_no"), F.col("l_extendedprice").alias("total"))
     rest = joins.unlinked(table(spark, sf_dir, "orders"), "o_orderkey", items.where("l_returnflag = 'R'"), "l_orderkey")
-    other = rest.select(F.lit("ODOO_ORDER_ONLY").alias("data_source"), F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("total"), F.col("o_orderstatus").alias("status"))
+    other = rest.select(F.lit("ERP_ORDER_ONLY").alias("data_source"), F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("total"), F.col("o_orderstatus").alias("status"))
     return joins.union_kinds(mine, other, ["data_source", "order_id", "item_no", "total", "status"])
 
 

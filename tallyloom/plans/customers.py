@@ -181,7 +181,7 @@ def q_rfq_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(k % 11 == 0, "  ").when(k % 13 == 0, "The Known One").otherwise("zzzz")
     quotes = _wanted(spark, sf_dir).withColumnRenamed("request", "quotation_number").withColumn("customer", text)
     master = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_custkey").alias("pos"))
-    over = spark.createDataFrame([("the known one", 1)], "quotation_customer_text string, odoo_customer_id long")
+    over = spark.createDataFrame([("the known one", 1)], "quotation_customer_text string, customer_id long")
     out = resolve.resolve_customers(quotes, master, _index(spark, sf_dir), over)
     return out.where("match_status in ('MISSING', 'OVERRIDE', 'RFQ_AMBIGUOUS', 'RFQ_MATCH', 'RFQ_MATCH_BASE')").select("p_partkey", "match_status", "matched_id", "matched_order")
 

@@ -154,7 +154,7 @@ def q_date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {DATE_SQL}
 SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 AND inside THEN strftime(d, '%Y-%m-%d') ELSE date END AS date,
-  CASE WHEN o_orderkey % 2 = 0 AND inside THEN 'ODOO_ORDER' WHEN date <> '' THEN 'PARSED_DOC' ELSE 'NONE' END AS source,
+  CASE WHEN o_orderkey % 2 = 0 AND inside THEN 'ERP_ORDER' WHEN date <> '' THEN 'PARSED_DOC' ELSE 'NONE' END AS source,
   NOT (o_orderkey % 2 = 0 AND inside) AND ambiguous AS ambiguous FROM parsed""")
 def q_date_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     export = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.date_format("d", "yyyy-MM-dd"), F.lit(" 09:12:31")))

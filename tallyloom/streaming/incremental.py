@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.operators.ranking import with_running
+
 
 def process_new(spark: SparkSession, source: str, schema: str, checkpoint: str, target: str, transform: Callable[[DataFrame], DataFrame], fmt: str = "parquet", max_files: int = 1000) -> int:
     """Run ``transform`` over files that no run has seen yet; gives the number of batches."""
@@ -29,14 +31,10 @@ def windowed_counts(events: DataFrame, time: str, kind: str, width: str, late: s
 
 
 def within_budget(docs: DataFrame, order: str, cost: str, daily: int, left: int, most: int) -> DataFrame:
-    """Documents with ``admitted``: not over ``most`` alone, and inside the day's remaining count and cost, in order.
-
-    The order is one sequence by definition: budgets bound how many rows can pass, so only ids and costs are ranked.
-    """
-    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    fits = docs.withColumn("fits", F.col(cost) <= most)
-    ranked = fits.withColumn("__n", F.sum(F.col("fits").cast("int")).over(w)).withColumn("__c", F.sum(F.when(F.col("fits"), F.col(cost)).otherwise(0)).over(w))
-    return ranked.withColumn("admitted", F.col("fits") & (F.col("__n") <= daily) & (F.col("__c") <= left)).drop("__n", "__c", "fits")
+    """Documents with ``admitted``: not over ``most`` alone, and inside the day's remaining count and cost, in order."""
+    fits = docs.withColumn("fits", F.col(cost) <= most).withColumn("__one", F.col("fits").cast("int")).withColumn("__cost", F.when(F.col("fits"), F.col(cost)).otherwise(0))
+    ranked = with_running(fits, [order], {"__n_sum": "__one", "__c_sum": "__cost"}, "__rank")
+    return ranked.withColumn("admitted", F.col("fits") & (F.col("__n_sum") <= daily) & (F.col("__c_sum") <= left)).drop("__n_sum", "__c_sum", "__one", "__cost", "__rank", "fits")
 
 
 class RateWindow:

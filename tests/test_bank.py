@@ -13,8 +13,8 @@ def test_bank(spark):
     orders = spark.createDataFrame([(100, "won", "2025-01-02 10:00:00", "7"), (101, "lost", None, "8")], "order_id int, order_status string, order_date string, partner_id string")
     got = {(r["data_source"], r["item_no"]): r for r in bank.build(items, meta, orders).collect()}
     assert len(got) == 4
-    first, third, only = got[("ATTACHMENT_ITEM", "1")], got[("ATTACHMENT_ITEM", "3")], got[("ODOO_ORDER_ONLY", None)]
-    assert (first["quotation_key"], first["date"], first["date_source"], first["unit"], first["price_basis"]) == ("Q24W10132R3", "2025-01-02", "ODOO_ORDER", "NOS", "REPORTED")
+    first, third, only = got[("ATTACHMENT_ITEM", "1")], got[("ATTACHMENT_ITEM", "3")], got[("ERP_ORDER_ONLY", None)]
+    assert (first["quotation_key"], first["date"], first["date_source"], first["unit"], first["price_basis"]) == ("Q24W10132R3", "2025-01-02", "ERP_ORDER", "NOS", "REPORTED")
     assert got[("ATTACHMENT_ITEM", "2")]["price_basis"] == "DERIVED_FROM_TOTAL" and "NO_PRICE" in third["review_reasons"]
     assert (only["quotation_key"], only["order_id"], only["review_reasons"]) == ("ORDER::101", "101", ["DATE_MISSING"])
     built = bank.build(items, meta, orders)

@@ -31,7 +31,7 @@ def test_cascade(spark):
     master = spark.createDataFrame([("1", "Blue Harbour Works", 0), ("2", "Green Hill", 1)], "id string, name string, pos int")
     sale = spark.createDataFrame([("Q24W10132", "1", "Blue Harbour Works", None, 0), ("Q24W2", "1", "B", None, 1), ("Q24W2", "2", "G", None, 2)], "n string, p string, pn string, d timestamp, pos int")
     index = resolve.number_index(sale, "n", "p", "pn", "d", "pos")
-    over = spark.createDataFrame([("Odd One", "2")], "quotation_customer_text string, odoo_customer_id string")
+    over = spark.createDataFrame([("Odd One", "2")], "quotation_customer_text string, customer_id string")
     quotes = spark.createDataFrame([(" ", "Q24W10132"), ("odd one", "Q24W10132"), ("x", "q24 w10132"), ("x", "Q24W10132R3"), ("x", "Q24W2"), ("M/s Blue Harbour Works", ""), ("qqq", ""), (None, None)], "customer string, quotation_number string")
     got = [(r["match_status"], r["matched_id"]) for r in resolve.resolve_customers(quotes, master, index, over).orderBy("customer", "quotation_number").collect()]
     assert sorted(got, key=repr) == sorted([("MISSING", None), ("OVERRIDE", "2"), ("RFQ_MATCH", "1"), ("RFQ_MATCH_BASE", "1"), ("RFQ_AMBIGUOUS", None), ("EXACT", "1"), ("NO_MATCH", None), ("MISSING", None)], key=repr)
@@ -150,3 +150,14 @@ def test_incremental_runs_only_new_files(spark, tmp_path):
     assert window.wait(50) == 60 and window.wait(40) == 0
     docs = spark.createDataFrame([(1, 10), (2, 99), (3, 10), (4, 10)], "k int, c int")
     assert [r["admitted"] for r in incremental.within_budget(docs, "k", "c", 2, 100, 50).orderBy("k").collect()] == [True, False, True, False]
+
+
+def test_ranks_without_one_task(spark):
+    from tallyloom.operators.ranking import with_running
+
+    rows = spark.range(1000).repartition(7).select("id", (F.col("id") % 10).alias("v"))
+    got = with_running(rows, [F.desc("id")], {"s": "v"}).orderBy("rank").collect()
+    total = 0
+    for i, r in enumerate(got):
+        total += r["v"]
+        assert (r["id"], r["rank"], r["s"]) == (999 - i, i + 1, total)
