@@ -161,3 +161,12 @@ def test_ranks_without_one_task(spark):
     for i, r in enumerate(got):
         total += r["v"]
         assert (r["id"], r["rank"], r["s"]) == (999 - i, i + 1, total)
+
+
+def test_table_function(spark):
+    from tallyloom.functions import udtf
+
+    udtf.register(spark)
+    spark.createDataFrame([("a", OFFER), ("b", None)], "k string, text string").createOrReplaceTempView("offers")
+    rows = spark.sql("SELECT k, ordinal, item_no, make FROM offers, LATERAL parse_items(offers.text) ORDER BY ordinal").collect()
+    assert [tuple(r) for r in rows] == [("a", 0, "1", "FERROX"), ("a", 1, "2", ""), ("a", 2, "3", "")]
