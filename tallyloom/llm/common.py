@@ -31,7 +31,7 @@ def stored(df: DataFrame, name: str = "part") -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def arrow_rows(spark: SparkSession, rows: int = 2000) -> None:
+def arrow_rows(spark: SparkSession, rows: int = 1000) -> None:
     """Rows of an Arrow batch: documents are long, so batches hold fewer of them than Spark's 10,000."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 

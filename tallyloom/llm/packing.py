@@ -32,7 +32,7 @@ END_ID = 2
 BLOCK_TOKENS = 1 << 18
 SENTENCE_PRICE = 2
 FORCED_PRICE = 8
-MAX_WORDS = 600_000
+MAX_WORDS = 400_000
 COLUMNS = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 FREE, SENTENCE, FORCED = 0, 1, 2

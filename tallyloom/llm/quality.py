@@ -126,30 +126,47 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.slope * self.margin(numbers) + self.offset, -500, 500))))
 
 
-def fit_svm(rows: list[np.ndarray], y: np.ndarray, c: float = 1.0, epochs: int = 15, alpha: float = 1.0, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """Weights over WIDTH features and a bias, and squared log ratios, by dual coordinate descent on the hinge loss."""
+@dataclass
+class Rows:
+    """Feature numbers of many rows in one flat array; row i is flat[at[i] : at[i + 1]]."""
+
+    flat: np.ndarray
+    at: np.ndarray
+
+    @classmethod
+    def of(cls, rows: list[np.ndarray]) -> Rows:
+        return cls(np.concatenate(rows).astype(np.int32) if rows else np.zeros(0, np.int32), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64))
+
+    def __len__(self) -> int:
+        return len(self.at) - 1
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.flat[self.at[i] : self.at[i + 1]]
+
+
+def fit_svm(rows: Rows, chosen: np.ndarray, y: np.ndarray, c: float = 1.0, epochs: int = 15, alpha: float = 1.0, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+    """Weights over WIDTH features and a bias, and squared log ratios, by dual coordinate descent on the hinge loss over the chosen rows."""
     p, q = np.full(WIDTH, alpha), np.full(WIDTH, alpha)
-    for row, label in zip(rows, y, strict=True):
-        (p if label > 0 else q)[row] += 1
+    for i in chosen:
+        (p if y[i] > 0 else q)[rows[i]] += 1
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
-    values = []
-    for row in rows:
-        v = ratio[row]
-        values.append(v / (np.sqrt(v @ v) or 1.0))
+    values = ratio.astype(np.float32)[rows.flat]
+    for i in chosen:
+        v = values[rows.at[i] : rows.at[i + 1]]
+        v /= np.sqrt(v @ v) or 1.0
     w, bias = np.zeros(WIDTH), 0.0
     dual = np.zeros(len(rows))
     # classes weigh alike in total
-    n_pos = max(1, int((y > 0).sum()))
-    n_neg = max(1, len(y) - n_pos)
-    limit = np.where(y > 0, c * len(y) / (2 * n_pos), c * len(y) / (2 * n_neg))
-    norm = np.array([float(v @ v) + 1.0 for v in values])
+    n_pos = max(1, int((y[chosen] > 0).sum()))
+    n_neg = max(1, len(chosen) - n_pos)
+    limit = np.where(y > 0, c * len(chosen) / (2 * n_pos), c * len(chosen) / (2 * n_neg))
     draw = np.random.default_rng(seed)
     for _ in range(epochs):
         moved = 0.0
-        for i in draw.permutation(len(rows)):
-            row, v = rows[i], values[i]
+        for i in draw.permutation(chosen):
+            row, v = rows[i], values[rows.at[i] : rows.at[i + 1]]
             gradient = y[i] * (w[row] @ v + bias) - 1
-            new = min(max(dual[i] - gradient / norm[i], 0.0), limit[i])
+            new = min(max(dual[i] - gradient / (float(v @ v) + 1.0), 0.0), limit[i])
             step = new - dual[i]
             if step:
                 dual[i] = new
@@ -179,22 +196,23 @@ def fit_sigmoid(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(s, 1e-6), t
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model | None:
+def fit(rows: list[np.ndarray] | Rows, labels: np.ndarray) -> Model | None:
     """A calibrated model; None unless both labels occur."""
+    rows = rows if isinstance(rows, Rows) else Rows.of(rows)
     y = np.where(labels == 1, 1.0, -1.0)
     if len(set(y.tolist())) < 2:
         return None
-    part = np.arange(len(rows)) % 2
+    part, every = np.arange(len(rows)) % 2, np.arange(len(rows))
     margins = np.zeros(len(rows))
     for k in (0, 1):
         inn, out = np.flatnonzero(part != k), np.flatnonzero(part == k)
         if len(set(y[inn].tolist())) < 2:
-            inn = np.arange(len(rows))
-        w, scale = fit_svm([rows[i] for i in inn], y[inn])
+            inn = every
+        w, scale = fit_svm(rows, inn, y)
         half = Model(w, scale, 1.0, 0.0)
         margins[out] = [half.margin(rows[i]) for i in out]
     slope, offset = fit_sigmoid(margins, y)
-    w, scale = fit_svm(rows, y)
+    w, scale = fit_svm(rows, every, y)
     return Model(w, scale, slope, offset)
 
 
@@ -211,9 +229,17 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS) -> Mod
     chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
     got = texts.select("doc_id", "label", "text").mapInArrow(_features, "doc_id long, label int, features array<int>").toArrow()
-    got = got.sort_by("doc_id")
-    rows = [np.array(x, dtype=np.int32) for x in (v.values.to_numpy() for v in got["features"])]
-    return fit(rows, got["label"].to_numpy())
+    order = np.argsort(got["doc_id"].to_numpy(), kind="stable")
+    parts = got["features"].combine_chunks()
+    parts = pa.concat_arrays(parts.chunks) if isinstance(parts, pa.ChunkedArray) else parts
+    at = parts.offsets.to_numpy()
+    flat = parts.values.to_numpy()
+    rows = Rows.of([flat[at[i] : at[i + 1]] for i in order])
+    labels_of = got["label"].to_numpy()[order]
+    del got, parts, flat
+    model = fit(rows, labels_of)
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def _scored(shared, text_at: int):
