@@ -126,8 +126,8 @@ def shingles(row: np.ndarray, k: int) -> np.ndarray:
     if n == 0:
         return row
     if n < k:
-        whole = (row * _MULTIPLIERS[:n]).sum(dtype=U64) + U64(n) * _MULTIPLIERS[63]
-        return mix(np.array([whole], dtype=U64))
+        # arrays of one, since numpy warns of overflow in scalars
+        return mix((row * _MULTIPLIERS[:n]).sum(dtype=U64, keepdims=True) + np.array([n], dtype=U64) * _MULTIPLIERS[63:64])
     total = row[: n - k + 1] * _MULTIPLIERS[0]
     for j in range(1, k):
         total += row[j : n - k + 1 + j] * _MULTIPLIERS[j]
