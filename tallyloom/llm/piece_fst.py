@@ -23,6 +23,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import arrow_rows
+from tallyloom.llm.textops import U64, mix
 
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
@@ -119,7 +121,9 @@ class PieceFst:
                 node = node.setdefault(c, {})
             node[""] = i
         front = all(MARK not in p.lstrip(MARK) for p in self.id)
-        self.chunks = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+") if front else re.compile("(?s).+")
+        plain = front and all("\n" not in p for p in self.id)  # then no piece spans a word's start or a line's end
+        self.chunks = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n+") if plain else re.compile("(?s).+")
+        self.table = _Table(self) if spec.model == BPE else None
         self.steps: dict[tuple[int, int], bool] = {}
         self.known: dict[str, tuple[int, ...]] = {}
 
@@ -205,17 +209,29 @@ class PieceFst:
             i = came[i]
         return tuple(reversed(out))
 
+    def learn(self, chunks: list[str]) -> None:
+        """Encode words that are not known yet, all at once where the model's form allows it."""
+        if len(self.known) + len(chunks) > MAX_WORDS:
+            self.known.clear()
+        rest = chunks
+        if self.table is not None:
+            done, rest = self.table.encode(chunks)
+            self.known.update(done)
+        for c in rest:
+            self.known[c] = self.shortest(c)
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        split = [self.chunks.findall(self.normalise(t)) for t in texts]
+        new = [c for c in {c for chunks in split for c in chunks} if c not in self.known]
+        if len(self.known) + len(new) > MAX_WORDS:
+            new = list({c for chunks in split for c in chunks})
+        if new:
+            self.learn(sorted(new, key=len))
+        known = self.known.__getitem__
+        return [list(chain.from_iterable(map(known, chunks))) for chunks in split]
+
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        known = self.known
-        for chunk in self.chunks.findall(self.normalise(text)):
-            ids = known.get(chunk)
-            if ids is None:
-                if len(known) >= MAX_WORDS:
-                    known.clear()
-                ids = known[chunk] = self.shortest(chunk)
-            out += ids
-        return out
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> str:
         """The inverse machine: pieces joined, runs of byte ids read as UTF-8, marks back to spaces, the dummy prefix dropped."""
@@ -240,6 +256,112 @@ class PieceFst:
         return out[1:] if self.spec.dummy_prefix and out.startswith(" ") else out
 
 
+class _Table:
+    """The composition of many words with a BPE machine at once, one position at a time.
+
+    ``last[w, i]`` is the only piece that can end at position i of word w.  Pieces are found by hash, steps in a sorted table
+    that grows by the steps met; words with characters outside the pieces are left to the general search.
+    """
+
+    WIDEST = 48
+
+    def __init__(self, fst: PieceFst) -> None:
+        self.fst = fst
+        ids = np.array(list(fst.id.values()), dtype=np.int64)
+        raw = [np.array([ord(c) for c in p], dtype=np.uint64) for p in fst.id]
+        self.size = np.zeros(len(fst.spec.pieces), dtype=np.int64)
+        self.size[ids] = [len(r) for r in raw]
+        self.longest = int(self.size.max(initial=0))
+        powers = lambda base: np.array([pow(base, i, 1 << 64) for i in range(self.WIDEST + 1)], dtype=np.uint64)
+        self.power, self.inverse = powers(_P), powers(pow(_P, -1, 1 << 64))
+        keys = np.array([mix((mix(r + U64(1)) * self.power[: len(r)]).sum(dtype=np.uint64, keepdims=True))[0] if len(r) <= self.WIDEST else 0 for r in raw], dtype=np.uint64)
+        order = np.argsort(keys)
+        self.keys, self.ids = keys[order], ids[order]
+        if (np.diff(self.keys) == 0).any():
+            raise ValueError("piece hashes collide")
+        self.step_keys, self.step_open = np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def _open(self, s: np.ndarray, t: np.ndarray) -> np.ndarray:
+        key = (s + 1) * len(self.size) + t
+        at = np.searchsorted(self.step_keys, key)
+        at[at == len(self.step_keys)] = 0
+        if len(self.step_keys):
+            known = self.step_keys[at] == key
+        else:
+            known = np.zeros(len(key), bool)
+        if not known.all():
+            new = np.unique(key[~known])
+            if len(self.step_keys) + len(new) > MAX_STEPS:
+                self.step_keys, self.step_open = np.zeros(0, np.int64), np.zeros(0, bool)
+                new = np.unique(key)
+            pieces, merged = self.fst.spec.pieces, self.fst.merged
+            told = []
+            for k in new.tolist():
+                a, b = divmod(k, len(self.size))
+                want = [pieces[b]] if a == 0 else [pieces[a - 1], pieces[b]]
+                told.append(merged("".join(want)) == want)
+            keys = np.concatenate([self.step_keys, new])
+            order = np.argsort(keys, kind="stable")
+            self.step_keys, self.step_open = keys[order], np.concatenate([self.step_open, np.array(told, bool)])[order]
+            at = np.searchsorted(self.step_keys, key)
+        return self.step_open[at]
+
+    def encode(self, chunks: list[str]) -> tuple[dict[str, tuple[int, ...]], list[str]]:
+        """Encodings of the words that hold only characters of pieces, and the other words.  Words come sorted by length."""
+        out: dict[str, tuple[int, ...]] = {}
+        rest = [c for c in chunks if len(c) > self.WIDEST]
+        short = chunks[: len(chunks) - len(rest)]
+        for lo in range(0, len(short), 8192):
+            part = short[lo : lo + 8192]
+            rest += self._block(part, out)
+        return out, rest
+
+    def _block(self, part: list[str], out: dict[str, tuple[int, ...]]) -> list[str]:
+        size = np.array([len(c) for c in part])
+        n, width = len(part), int(size.max())
+        flat = np.frombuffer("".join(part).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+        chars = np.zeros((n, width), dtype=np.uint64)
+        chars[np.arange(width) < size[:, None]] = flat
+        total = np.zeros((n, width + 1), dtype=np.uint64)
+        np.cumsum(mix(chars + U64(1)) * self.power[:width], axis=1, out=total[:, 1:])
+        last = np.full((n, width + 1), -2, dtype=np.int64)
+        last[:, 0] = -1
+        for i in range(width):
+            live = np.flatnonzero((last[:, i] != -2) & (size > i))
+            for k in range(1, min(self.longest, width - i) + 1):
+                live = live[size[live] >= i + k]
+                if not len(live):
+                    break
+                h = mix((total[live, i + k] - total[live, i]) * self.inverse[i])
+                at = np.searchsorted(self.keys, h)
+                at[at == len(self.keys)] = 0
+                hit = np.flatnonzero(self.keys[at] == h)
+                if len(hit):
+                    w, t = live[hit], self.ids[at[hit]]
+                    good = self._open(last[w, i], t)
+                    last[w[good], i + k] = t[good]
+        at, found = size.copy(), []
+        whole = last[np.arange(n), size] != -2
+        live = np.flatnonzero(whole)
+        while len(live):
+            t = last[live, at[live]]
+            found.append((live, t))
+            at[live] -= self.size[t]
+            live = live[at[live] > 0]
+        if found:
+            row = np.concatenate([x for x, _ in found])[::-1]
+            ids = np.concatenate([x for _, x in found])[::-1]
+            order = np.argsort(row, kind="stable")
+            ids, stops = ids[order].tolist(), np.cumsum(np.bincount(row, minlength=n)).tolist()
+            lo = 0
+            for c, hi, ok in zip(part, stops, whole.tolist(), strict=True):
+                if ok:
+                    out[c] = tuple(ids[lo:hi])
+                lo = hi
+        return [part[i] for i in np.flatnonzero(~whole)]
+
+
+_P = 0xD6E8FEB86659FD93
 _machines: dict[str, PieceFst] = {}
 
 
@@ -262,8 +384,8 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
         fst = machine(model_path)
         for batch in batches:
             all_ids, crc, same = [], [], []
-            for text in batch.column(1).to_pylist():
-                ids = fst.encode(text)
+            texts = batch.column(1).to_pylist()
+            for text, ids in zip(texts, fst.encode_all(texts), strict=True):
                 all_ids.append(ids)
                 crc.append(zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
                 same.append(fst.decode(ids) == text)
