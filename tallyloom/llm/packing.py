@@ -84,8 +84,7 @@ class WordTokens:
     def encode(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each text its ids and the positions behind its sentences."""
         split = [t.split() for t in texts]
-        known = self.code.keys()
-        new = list({w for words in split for w in words} - known)
+        new = [w for w in {w for words in split for w in words} if w not in self.code]
         if len(self.code) + len(new) > MAX_WORDS:
             self._clear()
             new = list({w for words in split for w in words})
