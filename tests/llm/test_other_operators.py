@@ -173,6 +173,23 @@ def test_markov_probabilities_sum_to_one():
     assert (model.difference(raw, offsets) > 0).all()
 
 
+def test_url_models_count_every_labelled_url_by_its_real_contexts(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(12))
+    texts = [f"{word()}.{tail}{word()}" for tail in ("org/", "com/de/", "net/") for _ in range(700)]
+    got = urls.judge(spark.createDataFrame([(i, "http://" + x) for i, x in enumerate(texts)], "page_id long, url string"), RULES).collect()
+    encoded = lambda some: (np.frombuffer("".join(some).encode(), np.uint8), np.cumsum([0, *map(len, some)]))
+    cell, n = [], []
+    for s, some in enumerate((texts[700:1400], texts[:700])):
+        for k, c in enumerate(urls.cells(*encoded(some))[0]):
+            found, times = np.unique(c, return_counts=True)
+            cell.append(found + (s * (urls.ORDER + 1) + k) * urls.CELLS)
+            n.append(times)
+    assert len(cell[3]) > 8192  # contexts with a symbol each
+    want = urls.Markov(np.concatenate(cell), np.concatenate(n)).difference(*encoded(texts))
+    assert np.allclose([r["score"] for r in sorted(got, key=lambda r: r["page_id"])], want, atol=1e-9)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 150)] + [(7, 7), (500, 500), (None, 3)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
