@@ -197,6 +197,18 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_long_chains(spark):
+    rng = random.Random(3)
+    edges = [(i, i + 1) for i in range(3000)] + [(10_000 + rng.randrange(900), 10_000 + rng.randrange(900)) for _ in range(800)]
+    root = {}
+    find = lambda x: x if root.setdefault(x, x) == x else find(root[x])
+    for a, b in edges[3000:]:
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: 0 for x in range(3001)} | {x: find(x) for x in list(root)}
+
+
 def test_pipeline_runs_stage_by_stage(spark):
     import corpus_pipeline
 
