@@ -3,8 +3,10 @@
 A text's hidden vector is the mean of the embeddings of all its hashed byte n-grams (case folded); a softmax layer gives the
 languages.  Both layers are trained by stochastic gradient descent in numpy on a bounded sample of labelled
 documents.  As the mean is linear, embeddings and softmax weights fold into one table of logits per
-bucket for prediction.  A temperature is fitted on documents held back from training, and a document
-is rejected if its probability is below a low quantile of theirs.
+bucket for prediction.  A temperature is fitted on documents held back from training.  How well a text is known is the
+mean log-frequency of its n-grams among those trained on; a document is rejected if that is below a low quantile of the
+documents held back by more than a quarter of what lies between this and their median.  The probability cannot say this: it only shares out 1 among the languages learned, so it is low for a
+mixture of them and may be high for a text in none.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ TRAIN_DOCS = 4000
 TRAIN_GRAMS = 600
 UNKNOWN = "und"
 REJECT_QUANTILE = 0.001
-REJECT_AT_MOST = 0.35
+REJECT_SLACK = 0.25
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[65:91] = True
@@ -51,13 +53,14 @@ def has_letter(piece: np.ndarray) -> bool:
 
 @dataclass
 class Model:
-    """Logits of bucket k: table[k]; of a text: their mean plus bias, times heat."""
+    """Logits of bucket k: table[k]; of a text: their mean plus bias, times heat.  known[k]: log-frequency of bucket k."""
 
     langs: list[str]
     table: np.ndarray
     bias: np.ndarray
     heat: float = 1.0
-    reject: float = 0.0
+    known: np.ndarray | None = None
+    reject: float = -np.inf
 
     def probabilities(self, total: np.ndarray, count: int) -> np.ndarray:
         z = (total / max(count, 1) + self.bias) * self.heat
@@ -101,6 +104,8 @@ def fit(rows: list[np.ndarray], names: list[str], seed: int = 11) -> Model | Non
     held = np.arange(len(rows)) % 5 == 4
     inn = np.flatnonzero(~held)
     model = sgd([rows[i] for i in inn], y[inn], langs, seed=seed)
+    seen = sum((np.bincount(rows[i], minlength=1 << BITS) for i in inn), np.zeros(1 << BITS))
+    model.known = np.log((seen + 1) / (seen.sum() + len(seen))).astype(np.float32)
     if held.any():
         z = np.stack([model.table[rows[i]].mean(0) + model.bias if len(rows[i]) else model.bias for i in np.flatnonzero(held)]).astype(np.float64)
         truth = y[held]
@@ -111,11 +116,10 @@ def fit(rows: list[np.ndarray], names: list[str], seed: int = 11) -> Model | Non
             loss = -(s[np.arange(len(truth)), truth] - np.log(np.exp(s).sum(1))).mean()
             best = min(best, (loss, float(heat)))
         model.heat = best[1]
-        s = np.exp(z * model.heat - (z * model.heat).max(1, keepdims=True))
-        p = s / s.sum(1, keepdims=True)
-        right = p.max(1)[p.argmax(1) == truth]
-        if len(right):
-            model.reject = min(REJECT_AT_MOST, 0.9 * float(np.quantile(right, REJECT_QUANTILE)))
+        known = [model.known[rows[i]].mean(dtype=np.float64) for i in np.flatnonzero(held) if len(rows[i])]
+        if known:
+            low, middle = np.quantile(known, [REJECT_QUANTILE, 0.5])
+            model.reject = float(low - REJECT_SLACK * (middle - low))
     return model
 
 
@@ -150,19 +154,20 @@ def _predicted(shared, text_at: int):
             raw, offsets, nulls = buffers(batch.column(text_at))
             n = batch.num_rows
             pred, score, reject = [UNKNOWN] * n, np.zeros(n), np.ones(n, bool)
-            total, count, letter = 0.0, 0, False
+            total, known, count, letter = 0.0, 0.0, 0, False
             for i, piece, last in text_blocks(raw, offsets, max(ORDERS) - 1):
                 if model is not None:
                     g = grams(piece)
                     total = total + model.table[g].sum(0, dtype=np.float64)
+                    known += model.known[g].sum(dtype=np.float64)
                     count += len(g)
                     letter = letter or has_letter(piece)
                 if last:
                     if letter and not nulls[i]:
                         p = model.probabilities(total, count)
                         k = int(p.argmax())
-                        pred[i], score[i], reject[i] = model.langs[k], p[k], p[k] < model.reject
-                    total, count, letter = 0.0, 0, False
+                        pred[i], score[i], reject[i] = model.langs[k], p[k], known / max(count, 1) < model.reject
+                    total, known, count, letter = 0.0, 0.0, 0, False
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred), pa.array(score), pa.array(reject)], names=[*batch.schema.names, *RESULT])
 
     return run

@@ -239,3 +239,19 @@ def test_plan_is_optimal():
             cost += size - (c - lo) + price[ks[list(xs).index(c)]]
             lo = c
         assert cost == pytest.approx(best[-1])
+
+
+def test_language_rejects_unlearned_and_junk(spark):
+    draw = random.Random(4)
+    pools = {"en": "the house stands near the river and many people walk there every morning with their children while birds sing".split(), "de": "das haus steht neben dem fluss und viele leute gehen dort jeden morgen mit ihren kindern spazieren".split()}
+    say = lambda words, n=40: " ".join(draw.choice(words) for _ in range(n))
+    rows = [(i, say(pools[x]), x) for i in range(300) for x in ["en" if i % 2 else "de"]]
+    mixed = [(1000 + i, say(pools["en"], 20) + " " + say(pools["de"], 20), None) for i in range(20)]
+    other = "kaikki ihmiset syntyvät vapaina tasavertaisina arvoltaan oikeuksiltaan heille annettu järki omatunto".split()
+    strange = [(2000 + i, say(other), None) for i in range(20)]
+    strange += [(3000 + i, "".join(draw.choice("qwxzjkvbypgf ") for _ in range(200)), None) for i in range(20)]
+    docs = spark.createDataFrame(rows + mixed + strange, "doc_id long, text string, lang string")
+    rejected = {x["doc_id"] for x in langid.identify(docs).collect() if x["rejected"]}
+    assert {x[0] for x in strange} <= rejected and not {x[0] for x in mixed} & rejected
+    kept = {x["doc_id"] for x in langid.keep_identified(docs).collect()}
+    assert not kept & {x[0] for x in strange} and kept >= {x[0] for x in mixed}
