@@ -25,16 +25,30 @@ def ranked_spellings(rows: DataFrame, column: str) -> DataFrame:
     return with_rank(counts, [F.desc("n"), "spelling"])
 
 
+def _alike(keyed: DataFrame, least: float) -> DataFrame:
+    """All pairs of which the sequence ratio can round to ``least``: it is at most 2 |A & B| / (|A| + |B|) of the letters' multisets."""
+    bound = least - 0.0001
+    size, sorted_ = F.length("k"), F.sort_array(F.filter(F.split("k", ""), lambda x: x != ""))
+    marked = keyed.withColumn("size", size).withColumn("s", sorted_)
+    marked = marked.withColumn("s", F.transform("s", lambda x, i: F.concat(x, (i - F.array_position("s", x)).cast("string"))))
+    side = lambda p: marked.select(*[F.col(c).alias(p + c) for c in ("spelling", "n", "rank", "k", "m", "size", "s")])
+    sizes = F.sequence(F.ceil(F.col("a_size") * (bound / (2 - bound))).cast("int"), F.floor(F.col("a_size") * ((2 - bound) / bound)).cast("int"))
+    near = side("a_").withColumn("b_size", F.explode(sizes)).join(side("b_"), "b_size").where("a_rank > b_rank and a_m = b_m")
+    shared = F.size(F.array_intersect("a_s", "b_s"))
+    return near.where(2 * shared >= bound * (F.col("a_size") + F.col("b_size"))).drop("a_size", "b_size", "a_s", "b_s")
+
+
 def alias_pairs(spellings: DataFrame, least: float = 0.75) -> DataFrame:
     """For each spelling the best more frequent one it may stand for: (alias, canonical, score, reason).
 
-    Pairs meet on a shared token, a shared collapsed prefix of four letters, or a shared initial token prefix; different digit runs
-    or roman numerals rule a pair out.  Abbreviation and plural come before containment, that before plain likeness.
+    Pairs meet on a shared token, a shared collapsed prefix of four letters, or a shared initial token prefix, or if their lengths and
+    letters allow a ratio of ``least``, which loses no like pair; different digit runs or roman numerals rule a pair out.  Abbreviation and plural come before containment, that before plain likeness.
     """
     keyed = spellings.select("spelling", "n", "rank", T.collapse_key(F.col("spelling")).alias("k"), makes.variant_markers(F.col("spelling")).alias("m"), makes.token_list(F.col("spelling")).alias("t"))
     blocks = F.array_distinct(F.concat(F.col("t"), F.array(F.concat(F.lit("^"), F.substring("k", 1, 4))), F.transform("t", lambda x: F.concat(F.lit("~"), F.substring(x, 1, 2)))))
     side = lambda p: keyed.select(*[F.col(c).alias(p + c) for c in ("spelling", "n", "rank", "k", "m")], F.explode(blocks).alias("block"))
-    pairs = side("a_").join(side("b_"), "block").where("a_rank > b_rank").drop("block").distinct().where("a_m = b_m")
+    pairs = side("a_").join(side("b_"), "block").where("a_rank > b_rank").drop("block").where("a_m = b_m")
+    pairs = pairs.unionByName(_alike(keyed, least)).distinct()
     a, b = F.col("a_spelling"), F.col("b_spelling")
     score = F.round(sequence_ratio(F.col("a_k"), F.col("b_k")), 4)
     reason = F.when(F.col("a_k") == F.col("b_k"), "COSMETIC").when(makes.abbreviates(a, b), "ABBREVIATION").when(makes.plural_of(a, b), "PLURAL").when(makes.contains_whole_tokens(a, b), "CONTAINMENT").when(score >= least, "SIMILAR")

@@ -170,3 +170,13 @@ def test_table_function(spark):
     spark.createDataFrame([("a", OFFER), ("b", None)], "k string, text string").createOrReplaceTempView("offers")
     rows = spark.sql("SELECT k, ordinal, item_no, make FROM offers, LATERAL parse_items(offers.text) ORDER BY ordinal").collect()
     assert [tuple(r) for r in rows] == [("a", 0, "1", "FERROX"), ("a", 1, "2", ""), ("a", 2, "3", "")]
+
+
+def test_alias_pairs_meet_all_alike_spellings(spark):
+    from difflib import SequenceMatcher
+
+    names = ["KIRLOSKAR", "CIRLOSKAR", "GRUNDFOS", "CRUNDFOS", "YASKAWA", "JASKAWA", "OMRON", "PHOENIX"]
+    rows = spark.createDataFrame([(x,) for i, x in enumerate(names) for _ in range(20 - i)], "s string")
+    got = {(r["alias"], r["canonical"]) for r in suggest.alias_pairs(suggest.ranked_spellings(rows, "s")).collect()}
+    like = {(b, a) for i, a in enumerate(names) for b in names[i + 1 :] if SequenceMatcher(None, a, b).ratio() >= 0.75}
+    assert got == like and len(like) == 3
