@@ -31,9 +31,12 @@ def stored(df: DataFrame, name: str = "part") -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def arrow_rows(spark: SparkSession, rows: int = 1000) -> None:
-    """Rows of an Arrow batch: documents are long, so batches hold fewer of them than Spark's 10,000."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+def arrow_rows(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+    """Rows and bytes of an Arrow batch: documents are long, so batches hold fewer of them than Spark's 10,000.  Only lowers the session's settings."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        now = int("".join(c for c in spark.conf.get(key) if c in "-0123456789") or 0)
+        if now <= 0 or now > most:
+            spark.conf.set(key, most)
 
 
 def fold_of(column: str, parts: int):

@@ -2,19 +2,18 @@
 
 Tokens of the documents stand in one line, each document closed by an end id.  A plan cuts the line into windows of at
 most ``size`` tokens.  Windows may end behind any document, at a price behind a sentence, and at a higher price
-every 32 tokens of a stretch without boundaries.  With boundary positions x_0 < x_1 < ...,
+every 16 tokens of a stretch without boundaries.  With boundary positions x_0 < x_1 < ...,
 
     cost(i) = min over j with x_i - x_j <= size of cost(j) + (size - (x_i - x_j)) + price(i)
 
 so ``cost(j) + x_j`` is what a window's start is chosen by, and a monotone queue gives its sliding minimum in
-amortised constant time.  Each task plans its own rows in blocks of about ``BLOCK_TOKENS``; a block's unfinished last
-window opens the next block.  What is left at the task's end is cut into powers of two, which need no padding.
+amortised constant time.  Each task plans its own rows in blocks of about ``BLOCK_TOKENS``; what follows a block's last cut
+opens the next block, at no cost.  What is left at the task's end is cut into powers of two, which need no padding.
 """
 
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -26,13 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import arrow_rows
+from tallyloom.llm.spans import PAD, SpanTable, gathered
+from tallyloom.llm.textops import FOLD, SEPARATOR, blocks, buffers
 
 SIZE = 4096
 END_ID = 2
 BLOCK_TOKENS = 1 << 18
 SENTENCE_PRICE = 2
-FORCED_PRICE = 8
-MAX_WORDS = 400_000
+FORCED_PRICE = 6
+TOKEN_BLOCK = 1 << 20
 COLUMNS = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 FREE, SENTENCE, FORCED = 0, 1, 2
@@ -41,10 +42,9 @@ FREE, SENTENCE, FORCED = 0, 1, 2
 class WordTokens:
     """Ids of whole texts by way of a table of their words.
 
-    Valid for a tokenizer that neither merges nor looks across ASCII white space (which it drops): a text's ids are then its
-    words' ids in a row.  New words of Latin letters go through a ranked merge table made from the same file, where it
-    has the form for it (``_ranked``); all others through the tokenizer itself.  The table is emptied when it
-    holds MAX_WORDS words, so memory stays bounded.
+    Valid for a tokenizer that neither merges nor looks across ASCII white space (which it drops) and that folds A-Z: a
+    text's ids are then its words' ids in a row.  New words of Latin letters go through a ranked merge table made from the same file, where it
+    has the form for it (``_ranked``); all others through the tokenizer itself.
     """
 
     def __init__(self, path: str) -> None:
@@ -52,53 +52,84 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.ranked = _ranked(path)
-        self._clear()
-
-    def _clear(self) -> None:
-        self.code: dict[bytes, int] = {}
-        self.flat = np.zeros(0, np.uint32)
-        self.first = np.zeros(1, np.int64)
-        self.ending = np.zeros(0, bool)
-
-    def _learn(self, new: list[bytes]) -> None:
-        plain = [bool(self.ranked) and bool(_PLAIN.fullmatch(w)) for w in new]
-        order = [w for w, x in zip(new, plain, strict=True) if x] + [w for w, x in zip(new, plain, strict=True) if not x]
-        n_plain = sum(plain)
+        self.table = SpanTable(self._learn)
+
+    def _learn(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct words, how many each has, and whether it may end a sentence."""
+        last = buf[ends - 1 + PAD]
+        ending = (last == 0x2E) | (last == 0x21) | (last == 0x3F)
+        for i in np.flatnonzero(_WIDE_LAST[last] & (ends - starts >= 3)).tolist():
+            ending[i] = buf[ends[i] - 3 + PAD : ends[i] + PAD].tobytes() in _WIDE_STOPS
+        plain = _plain(*gathered(buf, starts, ends, 0x20)) if self.ranked else np.zeros(len(starts), bool)
         parts, counts = [], []
-        if n_plain:
-            ids, stops = self.ranked.words(b" ".join(order[:n_plain]).decode())
+        if plain.any():
+            ids, stops = self.ranked.words(*gathered(buf, starts[plain], ends[plain], 0x20))
             parts.append(ids)
             counts.append(np.diff(stops, prepend=0))
-        for lo in range(n_plain, len(order), 4096):
-            for e in self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in order[lo : lo + 4096]], add_special_tokens=False):
+        others = np.flatnonzero(~plain)
+        for lo in range(0, len(others), 4096):
+            some = [buf[starts[i] + PAD : ends[i] + PAD].tobytes().decode("utf-8", "replace") for i in others[lo : lo + 4096].tolist()]
+            for e in self.tokenizer.encode_batch(some, add_special_tokens=False):
                 parts.append(np.array(e.ids, dtype=np.uint32))
                 counts.append([len(e.ids)])
-        count = np.concatenate(counts).astype(np.int64)
-        if len(count) != len(order):
+        order = np.concatenate([np.flatnonzero(plain), others])
+        got, flat = np.concatenate(counts).astype(np.int64), np.concatenate(parts).astype(np.uint32)
+        if len(got) != len(order):
             raise RuntimeError("a word was lost in tokenizing")
-        self.code.update(zip(order, range(len(self.code), len(self.code) + len(order)), strict=True))
-        self.flat = np.concatenate([self.flat, *parts]).astype(np.uint32)
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(count)])
-        self.ending = np.concatenate([self.ending, np.fromiter((w[-1] in b".!?" or w[-3:] in _WIDE_STOPS for w in order), bool, len(order))])
-
-    def encode(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each text its ids and the positions behind its sentences."""
-        split = [t.split() for t in texts]
-        new = [w for w in {w for words in split for w in words} if w not in self.code]
-        if len(self.code) + len(new) > MAX_WORDS:
-            self._clear()
-            new = list({w for words in split for w in words})
-        if new:
-            self._learn(new)
-        code = self.code.__getitem__
-        for words in split:
-            at = np.fromiter(map(code, words), dtype=np.int64, count=len(words))
-            lo = self.first[at]
-            count = self.first[at + 1] - lo
-            stop = np.cumsum(count)
-            total = int(stop[-1]) if len(stop) else 0
-            ids = self.flat[np.arange(total) + np.repeat(lo - stop + count, count)]
-            yield ids, stop[self.ending[at]]
+        lo, count = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        lo[order], count[order] = np.cumsum(got) - got, got
+        stop = np.cumsum(count)
+        return flat[np.arange(len(flat)) + np.repeat(lo - stop + count, count)], count, ending
+
+    def encode(self, raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each text its ids and the positions behind its sentences; raw bytes are read in blocks, so long texts cost their ids only."""
+        row, parts, sentences, done = 0, [], [], 0
+        n = len(offsets) - 1
+        for lo, hi in blocks(raw, offsets, TOKEN_BLOCK):
+            buf = np.zeros(hi - lo + 2 * PAD, dtype=np.uint8)
+            buf[PAD : PAD + hi - lo] = FOLD[raw[lo:hi]]
+            starts, ends = word_spans(buf[PAD : PAD + hi - lo], offsets[np.searchsorted(offsets, lo, "left") : np.searchsorted(offsets, hi, "left")] - lo)
+            at = self.table.find(buf, starts, ends)
+            ids, stop = self.table.ids_of(at)
+            stop = np.concatenate([[0], stop])
+            closing = stop[1:][self.table.flag[at]]
+            while row < n and (offsets[row] < hi or offsets[row + 1] <= hi):
+                a, b = stop[np.searchsorted(starts, [max(offsets[row], lo) - lo, min(offsets[row + 1], hi) - lo], "left")].tolist()
+                parts.append(ids[a:b])
+                i, j = np.searchsorted(closing, [a, b], "right")
+                sentences.append(closing[i:j] - a + done)
+                done += b - a
+                if offsets[row + 1] > hi:
+                    break
+                yield np.concatenate(parts), np.concatenate(sentences)
+                row, parts, sentences, done = row + 1, [], [], 0
+        for _ in range(row, n):
+            yield np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+
+def word_spans(piece: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a block, in which rows start at ``edges``."""
+    inside = ~SEPARATOR[piece]
+    begin, end = inside.copy(), inside.copy()
+    begin[1:] &= ~inside[:-1]
+    end[:-1] &= ~inside[1:]
+    edges = edges[(edges > 0) & (edges < len(piece))]
+    begin[edges] = inside[edges]
+    end[edges - 1] = inside[edges - 1]
+    return np.flatnonzero(begin), np.flatnonzero(end) + 1
+
+
+def _plain(text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which of the words of ``text`` (each followed by a space; they start at ``at``) hold only U+0021..U+007E and U+00A1..U+024F without "<".
+
+    NFC leaves such words alone and lower case is by character.
+    """
+    lead, follows = (text >= 0xC2) & (text <= 0xC9), (text & 0xC0) == 0x80
+    bad = (text < 0x20) | (text == 0x3C) | (text == 0x7F) | (text >= 0xCA) | (text == 0xC0) | (text == 0xC1)
+    bad[1:] |= follows[1:] != lead[:-1]
+    bad[0] |= follows[0]
+    bad[1:] |= ((text[:-1] == 0xC2) & (text[1:] == 0xA0)) | ((text[:-1] == 0xC2) & (text[1:] < 0xA0)) | ((text[:-1] == 0xC9) & (text[1:] > 0x8F))
+    return np.add.reduceat(bad, at, dtype=np.int64) == 0
 
 
 _tables: dict[str, WordTokens] = {}
@@ -112,8 +143,8 @@ def word_tokens(path: str) -> WordTokens:
 
 
 _WIDE_STOPS = ("。".encode(), "！".encode(), "？".encode())
-#: UTF-8 of U+0021..U+007E and U+00A1..U+024F without "<": NFC leaves such words alone and lower case is by character
-_PLAIN = re.compile(rb"(?:[\x21-\x3b\x3d-\x7e]|\xc2[\xa1-\xbf]|[\xc3-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])+")
+_WIDE_LAST = np.zeros(256, dtype=bool)
+_WIDE_LAST[[w[-1] for w in _WIDE_STOPS]] = True
 
 
 class _Ranked:
@@ -149,10 +180,10 @@ class _Ranked:
         self.mark = regex.compile(self.PATTERN)
         self.core = tiktoken.Encoding("ranked", pat_str=r"[^\x01 ]+\x01| ", mergeable_ranks=ranks, special_tokens={})
 
-    def words(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words parted by single spaces, and the positions behind each."""
-        marked = self.mark.sub("\\g<0>\x01", text.lower())
-        got = np.array(self.core.encode_ordinary(marked + " "), dtype=np.int64)
+    def words(self, text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words (UTF-8, each followed by a single space, starting at ``at``), and the positions behind each."""
+        marked = self.mark.sub("\\g<0>\x01", text.tobytes().decode().lower())
+        got = np.array(self.core.encode_ordinary(marked), dtype=np.int64)
         gaps = np.flatnonzero(got == self.space)
         return self.to_id[np.delete(got, gaps)], gaps - np.arange(len(gaps))
 
@@ -171,9 +202,10 @@ def _ranked(path: str) -> _Ranked | None:
 
 
 def plan(bounds: np.ndarray, kinds: np.ndarray, size: int) -> list[int]:
-    """Cut positions (rising, the last is the line's end) of least cost; ``bounds`` rise from above 0.
+    """Cut positions (rising) of least cost, the line's end left out; ``bounds`` rise from above 0 and end with it.
 
-    Gaps between bounds are at most ``size``.
+    Gaps between bounds are at most ``size``.  What follows the last cut fits a window and costs nothing: it opens the next block, or is
+    cut where no padding is needed.
     """
     price = (0.0, float(SENTENCE_PRICE), float(FORCED_PRICE))
     xs, ks = [0, *bounds.tolist()], [FREE, *kinds.tolist()]
@@ -191,7 +223,8 @@ def plan(bounds: np.ndarray, kinds: np.ndarray, size: int) -> list[int]:
         while queue and key[queue[-1]] >= k:
             queue.pop()
         queue.append(i)
-    cuts, i = [], len(xs) - 1
+    at = [i for i in range(len(xs) - 1) if xs[-1] - xs[i] <= size]
+    i, cuts = min(at, key=lambda i: (cost[i], i)), []
     while i:
         cuts.append(xs[i])
         i = came[i]
@@ -200,7 +233,7 @@ def plan(bounds: np.ndarray, kinds: np.ndarray, size: int) -> list[int]:
 
 def with_forced(bounds: np.ndarray, kinds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Add cuts inside of gaps wider than a small part of a window, so that a plan exists and windows can be full."""
-    step = max(1, size // 128)
+    step = max(1, size // 256)
     before = np.concatenate([[0], bounds[:-1]])
     count = np.maximum(0, (bounds - before - 1) // step)
     total = int(count.sum())
@@ -226,7 +259,7 @@ class Packer:
         ends = sentences[sentences < len(whole) - 1]
         self.docs.append((doc_id, 0, self.waiting, whole, ends, len(whole)))
         self.waiting += len(whole)
-        if self.waiting >= BLOCK_TOKENS:
+        if self.waiting >= max(BLOCK_TOKENS, 4 * self.size):
             yield from self._flush(False)
 
     def close(self) -> Iterator[tuple]:
@@ -238,15 +271,15 @@ class Packer:
         ks = [np.append(np.full(len(ends), SENTENCE), FREE) for _, _, _, _, ends, _ in self.docs]
         bounds, kinds = with_forced(*self._distinct(np.concatenate(xs), np.concatenate(ks)), self.size)
         cuts = plan(bounds, kinds, self.size)
-        if last:
-            lo = cuts[-2] if len(cuts) > 1 else 0
-            rest = cuts[-1] - lo
-            if rest < self.size:  # powers of two, largest first
-                cuts = cuts[:-1] + [lo + sum(1 << b for b in range(rest.bit_length() - 1, j - 1, -1) if rest >> b & 1) for j in range(rest.bit_length() - 1, -1, -1) if rest >> j & 1]
-        elif cuts[-1] - (cuts[-2] if len(cuts) > 1 else 0) < self.size and len(cuts) > 1:
-            cuts = cuts[:-1]
-        yield from self._emit(cuts)
-        self._drop(cuts[-1])
+        if last:  # the rest: powers of two, largest first
+            lo, rest = cuts[-1] if cuts else 0, self.waiting - (cuts[-1] if cuts else 0)
+            for j in range(rest.bit_length() - 1, -1, -1):
+                if rest >> j & 1:
+                    lo += 1 << j
+                    cuts.append(lo)
+        if cuts:
+            yield from self._emit(cuts)
+            self._drop(cuts[-1])
 
     @staticmethod
     def _distinct(xs: np.ndarray, ks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -261,7 +294,7 @@ class Packer:
             while at < end and k < len(cuts):
                 stop = min(end, cuts[k])
                 part = ids[at - first : stop - first]
-                yield doc_id, start + at - first, stop - at, zlib.crc32(part.astype("<u4").tobytes()), total, self.sequence + k, at - lo
+                yield doc_id, start + at - first, stop - at, zlib.crc32(part.astype("<u4", copy=False).data), total, self.sequence + k, at - lo
                 at = stop
                 if at == cuts[k]:
                     lo = at
@@ -288,13 +321,12 @@ def _packed(path: str, size: int, end_id: int):
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=schema)
 
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            for lo in range(0, len(ids), 1024):
-                part = texts[lo : lo + 1024]
-                rows = [r for i, (x, ends) in zip(ids[lo : lo + 1024], tokens.encode(part), strict=True) for r in packer.add(i, x, ends)]
-                if rows:
-                    yield out(rows)
+            raw, offsets, _ = buffers(batch.column(1))
+            rows = []
+            for doc_id, (ids, ends) in zip(batch.column(0).to_pylist(), tokens.encode(raw, offsets), strict=True):
+                rows += packer.add(doc_id, ids, ends)
+            if rows:
+                yield out(rows)
         if rows := list(packer.close()):
             yield out(rows)
 
