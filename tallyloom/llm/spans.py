@@ -56,7 +56,7 @@ class Slots:
     def __init__(self, width: int = 1, room: int = 1 << 12) -> None:
         self.keys = np.zeros((width, room), dtype=U64)
         self.n = 0
-        self._deal(2 * room)
+        self._deal(4 * room)
 
     def _deal(self, size: int) -> None:
         self.size = 1 << (size - 1).bit_length()
@@ -78,8 +78,8 @@ class Slots:
             self.keys = np.concatenate([self.keys, np.zeros_like(self.keys)], axis=1)
         self.keys[:, self.n : self.n + m] = keys
         self.n += m
-        if 2 * self.n > self.size:
-            self._deal(4 * self.n)
+        if 3 * self.n > self.size:
+            self._deal(8 * self.n)
         else:
             self._place(np.arange(self.n - m, self.n))
 

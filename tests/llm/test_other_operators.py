@@ -144,6 +144,84 @@ def test_unigram_shortest_path():
     assert fst.decode(fst.encode("ab ba")) == "ab ba"
 
 
+def wire(number, value):
+    """A protocol buffer field: a string, a float or an int."""
+    import struct
+
+    def varint(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    if isinstance(value, float):
+        return varint(number << 3 | 5) + struct.pack("<f", value)
+    if isinstance(value, int):
+        return varint(number << 3) + varint(value)
+    return varint(number << 3 | 2) + varint(len(value)) + value
+
+
+def model_file(path, pieces, unigram=True, byte_fallback=False, rules=b"", squeeze=True):
+    body = b"".join(wire(1, wire(1, p.encode()) + wire(2, float(s)) + wire(3, k)) for p, s, k in pieces)
+    body += wire(2, wire(3, 1 if unigram else 2) + wire(35, int(byte_fallback)))
+    body += wire(3, wire(1, b"own") + (wire(2, rules) if rules else b"") + wire(3, 1) + wire(4, int(squeeze)) + wire(5, 1))
+    path.write_bytes(body)
+    return str(path)
+
+
+def test_unigram_equals_all_segmentations_and_the_library(tmp_path):
+    import sentencepiece
+
+    r = random.Random(8)
+    rules = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc").serialized_model_proto()
+    rules = dict(piece_fst._fields(dict(piece_fst._fields(rules))[3]))[2]
+    parts = sorted({"".join(r.choice("abc▁") for _ in range(r.randint(2, 4))) for _ in range(60)} | {"▁a", "é", "\n"})
+    control = [("<unk>", 0, 2), ("<s>", 0, 3), ("</s>", 0, 3)]
+    bytes_ = [(f"<0x{b:02X}>", -20.0, 6) for b in range(256)]
+    for fallback in (False, True):
+        for squeeze in (False, True):
+            for charmap in (b"", rules):
+                pieces = control + (bytes_ if fallback else []) + [(p, -r.uniform(1, 9), 1) for p in ["a", "b", "c", "▁", *parts]]
+                path = model_file(tmp_path / "m", pieces, byte_fallback=fallback, rules=charmap, squeeze=squeeze)
+                library, fst = sentencepiece.SentencePieceProcessor(model_file=path), piece_fst.PieceFst(piece_fst.read_model(path))
+                assert bool(fst.spec.rules) == bool(charmap)
+                texts = ["".join(r.choice("aaabbbccc  xyé\n日ｱﾊﾞe\u0301ﬁ①") for _ in range(r.randint(0, 30))) for _ in range(120)] + ["", " ", "a  b", "▁a", "xx yy", "e\u0301", "ab" * 60]
+                for t in texts:
+                    got = fst.encode(t)
+                    assert got == library.encode(t), (t, fallback, squeeze, bool(charmap))
+                    assert 0 in got or "▁" in t or fst.decode(got) == library.decode(got)
+    weight = {p: -s for p, s, k in pieces if k == 1}
+
+    def every(rest):
+        if not rest:
+            yield 0.0
+        for p, w in weight.items():
+            if rest.startswith(p):
+                yield from (w + x for x in every(rest[len(p) :]))
+
+    for _ in range(40):
+        text = "".join(r.choice("abc") for _ in range(r.randint(1, 7)))
+        ids = fst.encode(text)
+        assert sum(weight[fst.spec.pieces[i]] for i in ids) == pytest.approx(min(every("▁" + text)))
+
+
+def test_merge_machine_equals_merging(tmp_path):
+    r = random.Random(9)
+    for _ in range(12):
+        parts = sorted({"".join(r.choice("ab▁") for _ in range(r.randint(2, 5))) for _ in range(25)})
+        r.shuffle(parts)
+        names = ["<unk>", *parts, "a", "b", "▁"]
+        fst = piece_fst.PieceFst(piece_fst.Spec(names, [0.0, *[-float(i) for i in range(len(names) - 1)]], [2] + [1] * (len(names) - 1), model=piece_fst.BPE, byte_fallback=True, squeeze=False))
+        for s in range(1, len(names)):
+            for t in range(1, len(names)):
+                assert fst.open(s, t) == (fst.merged(names[s] + names[t]) == [names[s], names[t]])
+        for _ in range(60):
+            text = "".join(r.choice("ab ") for _ in range(r.randint(1, 25)))
+            want = fst.merged("▁" + text.replace(" ", "▁"))
+            assert [names[i] for i in fst.encode(text)] == want
+            assert [names[i] for i in fst.shortest("▁" + text.replace(" ", "▁"))] == want
+
+
 RULES = [urls.Rule("allow", "org", "/"), urls.Rule("block", "example.org", "/es/"), urls.Rule("block", "com", "/de/")]
 
 
