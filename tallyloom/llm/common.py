@@ -39,6 +39,14 @@ def arrow_rows(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> No
             spark.conf.set(key, most)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as keep it apart from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fold_of(column: str, parts: int):
     """crc32 of the id as text, modulo ``parts``."""
     return F.crc32(F.col(column).cast("string")) % parts

@@ -20,15 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from tallyloom.llm.common import arrow_rows
+from tallyloom.llm.common import arrow_rows, free_name
 from tallyloom.llm.ngrams import hashed, text_blocks
-from tallyloom.llm.textops import U64, buffers, mix
+from tallyloom.llm.textops import buffers
 
 BITS = 16
 ORDERS = (2, 3, 4)
 DIM = 16
-TRAIN_DOCS = 4000
-TRAIN_GRAMS = 600
+TRAIN_DOCS = 2000
 UNKNOWN = "und"
 REJECT_QUANTILE = 0.001
 REJECT_SLACK = 0.25
@@ -68,20 +67,24 @@ class Model:
         return e / e.sum()
 
 
-def sgd(rows: list[np.ndarray], y: np.ndarray, langs: list[str], epochs: int = 12, rate: float = 0.5, seed: int = 11) -> Model:
+Row = tuple[np.ndarray, np.ndarray]  #: distinct buckets of a text, and how often each occurs
+
+
+def sgd(rows: list[Row], y: np.ndarray, langs: list[str], epochs: int = 12, rate: float = 0.5, seed: int = 11) -> Model:
     """Train embeddings and softmax one document at a time, the rate falling linearly to 0."""
     draw = np.random.default_rng(seed)
     n_lang = len(langs)
     emb = draw.uniform(-1 / DIM, 1 / DIM, (1 << BITS, DIM)).astype(np.float32)
     out, bias = np.zeros((DIM, n_lang), np.float32), np.zeros(n_lang, np.float32)
     steps, at = max(1, epochs * len(rows)), 0
+    shares = [(numbers, (times / max(1, times.sum())).astype(np.float32)) for numbers, times in rows]
     for _ in range(epochs):
         for i in draw.permutation(len(rows)):
-            row, lr = rows[i], rate * (1 - at / steps)
+            (numbers, share), lr = shares[i], rate * (1 - at / steps)
             at += 1
-            if not len(row):
+            if not len(numbers):
                 continue
-            hidden = emb[row].mean(0)
+            hidden = share @ emb[numbers]
             z = hidden @ out + bias
             p = np.exp(z - z.max())
             p /= p.sum()
@@ -89,12 +92,11 @@ def sgd(rows: list[np.ndarray], y: np.ndarray, langs: list[str], epochs: int = 1
             back = out @ p
             out -= lr * np.outer(hidden, p)
             bias -= lr * p * 0.1
-            numbers, times = np.unique(row, return_counts=True)
-            emb[numbers] -= (lr * 20 / len(row)) * times[:, None].astype(np.float32) * back
+            emb[numbers] -= (lr * 20) * share[:, None] * back
     return Model(langs, (emb @ out).astype(np.float32), bias)
 
 
-def fit(rows: list[np.ndarray], names: list[str], seed: int = 11) -> Model | None:
+def fit(rows: list[Row], names: list[str], seed: int = 11) -> Model | None:
     """Train, fit the temperature on a fifth held back, and set the rejection threshold from it; None without rows."""
     if not rows:
         return None
@@ -104,10 +106,13 @@ def fit(rows: list[np.ndarray], names: list[str], seed: int = 11) -> Model | Non
     held = np.arange(len(rows)) % 5 == 4
     inn = np.flatnonzero(~held)
     model = sgd([rows[i] for i in inn], y[inn], langs, seed=seed)
-    seen = sum((np.bincount(rows[i], minlength=1 << BITS) for i in inn), np.zeros(1 << BITS))
+    seen = np.zeros(1 << BITS)
+    for i in inn:
+        seen[rows[i][0]] += rows[i][1]
     model.known = np.log((seen + 1) / (seen.sum() + len(seen))).astype(np.float32)
+    mean = lambda table, row: row[1] @ table[row[0]].astype(np.float64) / max(1, row[1].sum())
     if held.any():
-        z = np.stack([model.table[rows[i]].mean(0) + model.bias if len(rows[i]) else model.bias for i in np.flatnonzero(held)]).astype(np.float64)
+        z = np.stack([mean(model.table, rows[i]) + model.bias for i in np.flatnonzero(held)])
         truth = y[held]
         best = (np.inf, 1.0)
         for heat in np.geomspace(0.05, 20, 60):
@@ -116,38 +121,45 @@ def fit(rows: list[np.ndarray], names: list[str], seed: int = 11) -> Model | Non
             loss = -(s[np.arange(len(truth)), truth] - np.log(np.exp(s).sum(1))).mean()
             best = min(best, (loss, float(heat)))
         model.heat = best[1]
-        known = [model.known[rows[i]].mean(dtype=np.float64) for i in np.flatnonzero(held) if len(rows[i])]
+        known = [mean(model.known, rows[i]) for i in np.flatnonzero(held) if len(rows[i][0])]
         if known:
             low, middle = np.quantile(known, [REJECT_QUANTILE, 0.5])
             model.reject = float(low - REJECT_SLACK * (middle - low))
     return model
 
 
-def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Up to TRAIN_GRAMS n-grams of each text, drawn evenly over all of it by hash."""
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct buckets of each whole text and their counts."""
     for batch in batches:
         raw, offsets, _ = buffers(batch.column(2))
-        kept = []
-        for i in range(batch.num_rows):
-            g = grams(raw[offsets[i] : offsets[i + 1]])
-            if len(g) > TRAIN_GRAMS:
-                g = g[(mix(np.arange(TRAIN_GRAMS, dtype=U64)) % U64(len(g))).astype(np.int64)]
-            kept.append(g.astype(np.int32))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(kept, pa.list_(pa.int32()))], names=["doc_id", "lang", "grams"])
+        total, numbers, times = np.zeros(1 << BITS, np.int64), [], []
+        for _, piece, last in text_blocks(raw, offsets, max(ORDERS) - 1):
+            total += np.bincount(grams(piece), minlength=1 << BITS)
+            if last:
+                at = np.flatnonzero(total)
+                numbers.append(at.astype(np.int32))
+                times.append(total[at].astype(np.int32))
+                total[at] = 0
+        lists = [pa.array(x, pa.list_(pa.int32())) for x in (numbers, times)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], names=["doc_id", "lang", "grams", "times"])
 
 
 def train(docs: DataFrame, max_docs: int = TRAIN_DOCS) -> Model | None:
-    """Fit on at most ``max_docs`` rows with text and lang, those whose ids and langs hash lowest (a bounded sample)."""
-    known = docs.where("lang is not null and text is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
-    chosen = known.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "lang").limit(max_docs)
-    texts = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"])
+    """Fit on at most ``max_docs`` rows with text and lang, those whose ids and langs hash lowest (a bounded sample), and on all their n-grams.
+
+    Of rows that repeat an id and a lang the text that hashes lowest counts.
+    """
     arrow_rows(docs.sparkSession)
-    got = texts.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string")).mapInArrow(_sample, "doc_id long, lang string, grams array<int>").toArrow()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    rows = rows.where("lang is not null and text is not null and doc_id is not null")
+    chosen = rows.select("doc_id", "lang").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "lang").limit(max_docs)
+    texts = rows.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    got = texts.mapInArrow(_counted, "doc_id long, lang string, grams array<int>, times array<int>").toArrow()
     got = got.sort_by([("doc_id", "ascending"), ("lang", "ascending")])
-    return fit([v.values.to_numpy() for v in got["grams"]], got["lang"].to_pylist())
+    return fit([(a.values.to_numpy(), b.values.to_numpy()) for a, b in zip(got["grams"], got["times"], strict=True)], got["lang"].to_pylist())
 
 
-def _predicted(shared, text_at: int):
+def _predicted(shared, text_at: int, names: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
@@ -168,21 +180,21 @@ def _predicted(shared, text_at: int):
                         k = int(p.argmax())
                         pred[i], score[i], reject[i] = model.langs[k], p[k], known / max(count, 1) < model.reject
                     total, known, count, letter = 0.0, 0.0, 0, False
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred), pa.array(score), pa.array(reject)], names=[*batch.schema.names, *RESULT])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred), pa.array(score), pa.array(reject)], names=[*batch.schema.names, *names])
 
     return run
 
 
-RESULT = ("__lang_pred", "__lang_score", "__lang_rejected")
+RESULT = ("lang_pred", "score", "rejected")
 
 
-def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` and those of RESULT, without a shuffle."""
+def predict(docs: DataFrame, model: Model | None, text_col: str = "text", names: tuple[str, ...] = RESULT) -> DataFrame:
+    """All columns of ``docs`` and the language, its probability and whether it is rejected under ``names``, without a shuffle."""
     spark = docs.sparkSession
     arrow_rows(spark)
     rows = docs.withColumn(text_col, F.col(text_col).cast("string"))
-    schema = StructType([*rows.schema.fields, StructField(RESULT[0], StringType()), StructField(RESULT[1], DoubleType()), StructField(RESULT[2], BooleanType())])
-    return rows.mapInArrow(_predicted(spark.sparkContext.broadcast(model), rows.columns.index(text_col)), schema)
+    schema = StructType([*rows.schema.fields, *[StructField(n, t) for n, t in zip(names, (StringType(), DoubleType(), BooleanType()), strict=True)]])
+    return rows.mapInArrow(_predicted(spark.sparkContext.broadcast(model), rows.columns.index(text_col), names), schema)
 
 
 def identify(docs: DataFrame, held_out=None, max_docs: int = TRAIN_DOCS) -> DataFrame:
@@ -195,15 +207,17 @@ def identify(docs: DataFrame, held_out=None, max_docs: int = TRAIN_DOCS) -> Data
     test = F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))
     model = train(docs.where(~test), max_docs)
     out = predict(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
-    return out.select("doc_id", test.alias("held_out"), *[F.col(a).alias(b) for a, b in zip(RESULT, ("lang_pred", "score", "rejected"), strict=True)])
+    return out.select("doc_id", test.alias("held_out"), *RESULT)
 
 
 def keep_identified(docs: DataFrame, max_docs: int = TRAIN_DOCS) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with their columns; trained on their own languages.
 
     If no row can be learned from, nothing is rejected but texts without a letter cannot be told, so all rows stay.
+    Columns may have any names: those of the prediction are drawn apart from them.
     """
     model = train(docs, max_docs)
     if model is None:
         return docs
-    return predict(docs, model).where(~F.col(RESULT[2])).select(*docs.columns)
+    names = tuple(free_name(docs, "__" + x) for x in RESULT)
+    return predict(docs, model, names=names).where(~F.col(names[2])).select(*[F.col(f"`{c}`") for c in docs.columns])

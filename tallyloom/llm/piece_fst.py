@@ -113,17 +113,17 @@ def read_rules(blob: bytes) -> dict[str, str]:
     if not blob:
         return {}
     size = struct.unpack("<I", blob[:4])[0]
-    unit, pool = struct.unpack(f"<{size // 4}I", blob[4 : 4 + size]), blob[4 + size :]
-    base = lambda x: (x >> 10) << (8 if x & 512 else 0)
+    unit, pool = np.frombuffer(blob[4 : 4 + size], "<u4").astype(np.int64), blob[4 + size :]
+    base = lambda at: (int(unit[at]) >> 10) << (8 if unit[at] & 512 else 0)
+    labels = np.arange(1, 256)
     rules, todo = {}, [(0, b"")]
     while todo:
         at, key = todo.pop()
-        for c in range(1, 256):
-            child = at ^ base(unit[at]) ^ c
-            if child < len(unit) and unit[child] & 0x800000FF == c:
-                todo.append((child, key + bytes([c])))
+        children = at ^ base(at) ^ labels
+        for c in labels[unit[np.minimum(children, len(unit) - 1)] & 0x800000FF == labels].tolist():
+            todo.append((at ^ base(at) ^ c, key + bytes([c])))
         if key and unit[at] >> 8 & 1:
-            value = unit[at ^ base(unit[at])] & 0x7FFFFFFF
+            value = int(unit[at ^ base(at)]) & 0x7FFFFFFF
             rules[key.decode()] = pool[value : pool.index(b"\0", value)].decode()
     return rules
 

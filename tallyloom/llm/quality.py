@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tallyloom.llm.common import arrow_rows
+from tallyloom.llm.common import arrow_rows, free_name
 from tallyloom.llm.ngrams import hashed, text_blocks
 from tallyloom.llm.textops import SEPARATOR, U64, buffers, mix, words
 
@@ -224,10 +224,15 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS) -> Model | None:
-    """Fit on the ``max_docs`` labelled documents whose ids hash lowest (a bounded sample of the given rows)."""
+    """Fit on the ``max_docs`` labelled documents whose ids hash lowest (a bounded sample of the given rows).
+
+    Of rows that repeat an id the text that hashes lowest counts (a null text as empty), of labels the greatest.
+    """
+    arrow_rows(docs.sparkSession)
     one = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").cast("int").alias("label"))
     chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    texts = rows.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     got = texts.select("doc_id", "label", "text").mapInArrow(_features, "doc_id long, label int, features array<int>").toArrow()
     order = np.argsort(got["doc_id"].to_numpy(), kind="stable")
     parts = got["features"].combine_chunks()
@@ -242,26 +247,23 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS) -> Mod
     return model
 
 
-def _scored(shared, text_at: int):
+def _scored(shared, text_at: int, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, make = shared.value, Features()
         for batch in batches:
             scores = [0.5 if model is None else model.score(x) for x in make.rows(batch.column(text_at))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, RESULT])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, name])
 
     return run
 
 
-RESULT = "__quality_score"
-
-
-def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` and the score in RESULT (0..1), without a shuffle; a null text counts as empty, no model gives 0.5."""
+def score(docs: DataFrame, model: Model | None, text_col: str = "text", name: str = "score") -> DataFrame:
+    """All columns of ``docs`` and the score (0..1) under ``name``, without a shuffle; a null text counts as empty, no model gives 0.5."""
     spark = docs.sparkSession
     arrow_rows(spark)
     rows = docs.withColumn(text_col, F.col(text_col).cast("string"))
-    schema = StructType([*rows.schema.fields, StructField(RESULT, DoubleType())])
-    return rows.mapInArrow(_scored(spark.sparkContext.broadcast(model), rows.columns.index(text_col)), schema)
+    schema = StructType([*rows.schema.fields, StructField(name, DoubleType())])
+    return rows.mapInArrow(_scored(spark.sparkContext.broadcast(model), rows.columns.index(text_col), name), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_docs: int = TRAIN_DOCS, held_out=None) -> DataFrame:
@@ -273,9 +275,10 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_doc
     test = F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))
     known = labels.select("doc_id", "quality").where(~test)
     rows = score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), train(docs, known, max_docs))
-    return rows.select("doc_id", test.alias("held_out"), F.col(RESULT).alias("score"), (F.col(RESULT) >= threshold).cast("int").alias("predicted"))
+    return rows.select("doc_id", test.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_docs: int = TRAIN_DOCS) -> DataFrame:
-    """The rows of ``docs`` that score ``threshold`` or more, with their columns."""
-    return score(docs, train(docs, labels, max_docs)).where(F.col(RESULT) >= threshold).select(*docs.columns)
+    """The rows of ``docs`` that score ``threshold`` or more, with their columns, whatever the names of these."""
+    name = free_name(docs, "__score")
+    return score(docs, train(docs, labels, max_docs), name=name).where(F.col(name) >= threshold).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -241,7 +241,7 @@ def test_url_rules_and_models(spark):
     assert urls.judge(spark.createDataFrame([], "page_id long, url string"), RULES).count() == 0
 
 
-def test_markov_probabilities_sum_to_one():
+def test_markov_prefers_the_counted_side():
     raw = np.frombuffer(b"abcabcabd", np.uint8)
     offsets = np.array([0, 3, 6, 9])
     found_cells, _ = urls.cells(raw, offsets)

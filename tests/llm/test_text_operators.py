@@ -167,7 +167,7 @@ def test_quality_learns_and_holds_out(spark):
     assert quality.classify(docs.where("false"), labels).count() == 0
 
 
-def test_svm_margin_is_optimal():
+def test_svm_tells_two_classes():
     rows = [np.array([0, 1]), np.array([0, 2]), np.array([3, 1]), np.array([3, 2])]
     model = quality.fit(rows, np.array([1, 1, 0, 0]))
     assert [model.score(x) > 0.5 for x in rows] == [True, True, False, False]
