@@ -1,14 +1,16 @@
 """Exact top-k by inner product: norm-bucketed retrieval.
 
-Vectors are grouped by length, longest first, into buckets of about ``bucket_rows`` whose lengths are close; equal lengths are split by
-hash.  A query starts from a bound: its k-th score among the longest vectors.  In a bucket of greatest length L the
+Vectors are grouped by length into buckets whose lengths differ by at most a sixteenth of an octave; those of more than
+``bucket_rows`` are split by hash.  A query starts from a bound: its k-th score among the longest vectors.  In a bucket of greatest length L the
 query q can only gain from vectors whose cosine with it is at least
 
     t = bound / (|q| L)                                   (the local threshold)
 
 If t > 1 the whole bucket falls away.  If t is high, *coordinate* pruning bounds each product by the focus
 coordinates' partial product plus the lengths of both rests; if it is low, *length* pruning scans the bucket in falling length and
-stops where |q| |v| < bound.  Survivors' products are verified in integers, and raise the bound.
+stops where |q| |v| < bound.  Survivors' products are verified in integers.
+
+A bucket stays in its task; query blocks travel to the buckets that are long enough for the least demanding of their queries.
 """
 
 from __future__ import annotations
@@ -16,14 +18,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import stored
-from tallyloom.llm.vectors import best, usable
+from tallyloom.llm.common import arrow_rows, stored
+from tallyloom.llm.vectors import best, looked_up, matrix, meet, packed, usable
 
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 2048
+OCTAVE = 8
 QUERY_ROWS = 512
 SEED_ROWS = 1024
 HIGH_COSINE = 0.6
@@ -89,53 +92,52 @@ def norm_bucketed(table: DataFrame, is_query, k: int, scale: int = 256, id_col:
     those of an uncommon length.  Vectors of zeros take part.  Rows that repeat an id with its vector count once.
     An empty table gives no rows.
     """
+    spark = table.sparkSession
+    arrow_rows(spark)
     rows = usable(table, id_col, vector_col, zero=True)
     whole = rows.select("vec_id", F.transform("v", lambda x: F.floor(x * scale).cast("long")).alias("w")).dropDuplicates(["vec_id", "w"])
     norm = F.aggregate("w", F.lit(0).cast("long"), lambda a, x: a + x * x)
-    whole = stored(whole.withColumn("norm2", norm), "vectors")
-    total = whole.count()
-    blocks = max(1, -(-total // bucket_rows))
-    # bounds of the length groups: quantiles, so as many as the data ask for; equal lengths are split by hash
-    edges = sorted(set(whole.approxQuantile("norm2", [i / blocks for i in range(1, blocks)], 0.5 / blocks))) if blocks > 1 else []
-    group = F.lit(0)
-    for lo in range(0, len(edges), 256):
-        part = F.array(*[F.lit(float(e)) for e in edges[lo : lo + 256]])
-        group = group + F.size(F.filter(part, lambda e: e < F.col("norm2")))
-    grouped = whole.withColumn("g", group.cast("int"))
-    sizes = grouped.groupBy("g").agg(F.count("*").alias("n"))
-    salted = grouped.join(F.broadcast(sizes), "g").withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.ceil(F.col("n") / bucket_rows).cast("long")))
+    # a sixteenth of an octave of length is an eighth of one of its square; zeros are group -1
+    group = F.when(F.col("norm2") > 0, F.floor(F.log2(F.col("norm2").cast("double")) * OCTAVE)).otherwise(-1).cast("long")
+    whole = stored(whole.withColumn("norm2", norm).withColumn("g", group), "vectors")
+    # there are at most 63 * OCTAVE + 2 groups, whatever the number of rows
+    parts = {r["g"]: -(-r["n"] // bucket_rows) for r in whole.groupBy("g").agg(F.count("*").alias("n")).collect()}
+    if not parts:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    top = max(parts)
+    split = lambda g: looked_up([parts.get(i, 0) for i in range(-1, top + 1)], g + 1)
+    buckets = packed(whole.withColumn("salt", F.pmod(F.xxhash64("vec_id"), split(F.col("g")))), ["g", "salt"], "w", np.int64)
     longest = [(r["vec_id"], r["w"]) for r in whole.orderBy(F.desc("norm2"), "vec_id").limit(SEED_ROWS).collect()]
-    queries = whole.where(is_query)
-    n_queries = queries.count()
-    q_blocks = max(1, -(-n_queries // query_rows))
     seed_ids, seed = np.array([x[0] for x in longest], np.int64), np.array([x[1] for x in longest], np.int64)
-
-    def seeded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for q in batches:
-            bounds = []
-            for own, w in zip(q["vec_id"], q["w"], strict=True):
-                scores = np.sort(seed[seed_ids != own] @ np.asarray(w, np.int64))
-                bounds.append(float(scores[-k]) if len(scores) >= k else float("-inf"))
-            yield q[["vec_id", "w"]].assign(bound=bounds)
-
-    asked = queries.select("vec_id", "w").mapInPandas(seeded, "vec_id long, w array<long>, bound double")
-    asked = stored(asked.withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(q_blocks)).cast("int")), "asked")
-    asked_blocks = asked.groupBy("qb").agg(F.array_sort(F.collect_list(F.struct("vec_id", "w", "bound"))).alias("queries"), F.min(F.col("bound") / F.sqrt(F.greatest(F.lit(1.0), F.aggregate("w", F.lit(0).cast("long"), lambda a, x: a + x * x).cast("double")))).alias("reach"))
-    buckets = stored(salted.groupBy("g", "salt").agg(F.array_sort(F.collect_list(F.struct("vec_id", "w"))).alias("rows"), F.max("norm2").alias("top")), "buckets")
-    # a block of queries meets the buckets that are long enough for its least demanding query
-    cells = buckets.join(F.broadcast(asked_blocks.select("qb", "reach")), F.sqrt(F.col("top").cast("double")) * (1 + 1e-9) >= F.col("reach")).drop("reach")
-    work = cells.join(asked_blocks.drop("reach"), "qb").repartition(F.col("qb"), F.col("g"), F.col("salt"))
-
-    def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in batches:
-            for rows_, queries_ in zip(part["rows"], part["queries"], strict=True):
-                ids, v = np.array([r["vec_id"] for r in rows_], np.int64), np.array([list(r["w"]) for r in rows_], np.int64)
-                q_ids, q = np.array([r["vec_id"] for r in queries_], np.int64), np.array([list(r["w"]) for r in queries_], np.int64)
-                a, b, c, _ = search_bucket(q_ids, q, np.array([r["bound"] for r in queries_], float), ids, v, k)
-                yield pd.DataFrame({"query_id": a, "vec_id": b, "score": c})
-
-    found = work.select("rows", "queries").mapInPandas(verified, RESULT)
-    return ranked(found, k)
+    queries = whole.where(is_query).select("vec_id", "w")
+    q_blocks = max(1, -(-queries.count() // query_rows))
+
+    def seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, w = batch.column(0).to_numpy(), matrix(batch.column(1), batch.num_rows, np.int64)
+            bounds, reach = np.full(len(own), -np.inf), np.full(len(own), -np.inf)
+            for i in range(len(own)):
+                scores = np.sort(seed[seed_ids != own[i]] @ w[i])
+                length = np.sqrt(float((w[i] * w[i]).sum()))
+                if len(scores) >= k:
+                    bounds[i] = scores[-k]
+                    reach[i] = bounds[i] / length if length else (-np.inf if bounds[i] <= 0 else np.inf)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bounds), pa.array(reach)], names=["vec_id", "w", "bound", "reach"])
+
+    asked = queries.mapInArrow(seeded, "vec_id long, w array<long>, bound double, reach double")
+    asked = stored(asked.withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(q_blocks))), "asked")
+    # the least group whose vectors can be long enough for the least demanding query of a block
+    reach = asked.groupBy("qb").agg(F.min("reach").alias("reach"))
+    least = reach.select("qb", F.when(F.col("reach") == float("inf"), top).when(F.col("reach") > 0, F.floor(2 * F.log2("reach") * OCTAVE - 1e-6)).otherwise(-1).cast("long").alias("least"))
+    groups = least.select("qb", F.explode(F.sequence(F.least("least", F.lit(top)), F.lit(top).cast("long"))).alias("g")).withColumn("n", split(F.col("g"))).where("n > 0")
+    cells = groups.select("qb", "g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("salt"))
+    blocks = stored(packed(asked.withColumnRenamed("w", "q"), ["qb"], "q", np.int64, ["bound"]), "query-blocks")
+
+    def verified(bucket: tuple, block: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ids, q_ids, bounds = np.frombuffer(bucket[0], np.int64), np.frombuffer(block[0], np.int64), np.frombuffer(block[2], float)
+        return search_bucket(q_ids, np.frombuffer(block[1], np.int64).reshape(len(q_ids), -1), bounds, ids, np.frombuffer(bucket[1], np.int64).reshape(len(ids), -1), k)[:3]
+
+    return ranked(meet(buckets, blocks.join(cells, "qb").drop("qb"), ["g", "salt"], verified, RESULT), k)
 
 
 def ranked(found: DataFrame, k: int) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -43,3 +45,73 @@ def best(scores: np.ndarray, ids: np.ndarray, own: int | None, k: int) -> np.nda
         floor = np.partition(part, len(part) - k)[len(part) - k]
         at = at[part >= floor]
     return at[np.lexsort((ids[at], -scores[at]))][:k]
+
+
+def looked_up(values, at) -> Column:
+    """The long at place ``at`` of a list of bounded length, which folds to one literal."""
+    return F.element_at(F.split(F.lit(",".join(str(int(x)) for x in values)), ","), at.cast("int") + 1).cast("long")
+
+
+def packed(rows: DataFrame, keys: list[str], vector: str, dtype: type, more: list[str] = []) -> DataFrame:  # noqa: B006
+    """One row for each value of ``keys`` (longs): the rows' vec_id, vector and ``more`` columns (8-byte numbers) as bytes.
+
+    Groups have a bounded size: the caller salts them.
+    """
+    names = ["vec_id", vector, *more]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+
+        def flush() -> pa.RecordBatch:
+            blobs = [b"".join(x[i].tobytes() for x in held) for i in range(len(names))]
+            return pa.RecordBatch.from_arrays([*[pa.array([k], pa.int64()) for k in now], *[pa.array([b], pa.binary()) for b in blobs]], names=[*keys, *names])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(keys))])
+            cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            values = [batch.column(len(keys)).to_numpy(zero_copy_only=False), matrix(batch.column(len(keys) + 1), batch.num_rows, dtype), *[batch.column(len(keys) + 2 + i).to_numpy(zero_copy_only=False) for i in range(len(more))]]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                mine = tuple(key[:, lo].tolist())
+                if mine != now and held:
+                    yield flush()
+                    held = []
+                now = mine
+                held.append([x[lo:hi] for x in values])
+        if held:
+            yield flush()
+
+    schema = ", ".join([*[f"{k} long" for k in keys], *[f"{c} binary" for c in names]])
+    dealt = rows.select(*[F.col(k).cast("long").alias(k) for k in keys], *names).repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(run, schema)
+
+
+Met = Callable[[tuple, tuple], tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def meet(blocks: DataFrame, queries: DataFrame, keys: list[str], work: Met, result: str) -> DataFrame:
+    """(query_id, vec_id, score) that ``work(block, query block)`` gives for each packed query block that carries a packed block's keys.
+
+    A block goes to one task and stays there while its query blocks pass by one at a time, so only queries are copied.
+    """
+    columns = [c for c in blocks.columns if c not in keys]
+    more = [c for c in queries.columns if c not in keys]
+    side = lambda df, kind, mine: df.select(*keys, F.lit(kind).alias("kind"), *[F.col(c).alias(f"b{i}") if i < len(mine) else F.lit(None).cast("binary").alias(f"b{i}") for i, c in enumerate([*mine, *[None] * (max(len(columns), len(more)) - len(mine))])])
+    both = side(blocks, 0, columns).unionByName(side(queries, 1, more))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                kind = batch.column(len(keys))[i].as_py()
+                blobs = tuple(batch.column(len(keys) + 1 + j)[i].as_py() for j in range(len(columns) if kind == 0 else len(more)))
+                key = tuple(batch.column(j)[i].as_py() for j in range(len(keys)))
+                if kind == 0:
+                    block = key, blobs
+                elif block is not None and block[0] == key:
+                    a, b, c = work(block[1], blobs)
+                    if len(a):
+                        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c)], names=["query_id", "vec_id", "score"])
+
+    return both.repartition(*keys).sortWithinPartitions(*keys, "kind").mapInArrow(run, result)

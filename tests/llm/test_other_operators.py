@@ -116,8 +116,12 @@ def test_tree_visits_leaves_best_first():
     tree = kmeans_tree.Tree(x)
     place = tree.place(x)
     assert set(place.tolist()) <= set(range(tree.leaves))
-    order = tree.visits(x[0], tree.leaves)
-    assert sorted(order) == list(range(tree.leaves)) and tree.visits(x[0], 3) == order[:3]
+    order, _ = tree.visits(x[0], tree.leaves)
+    assert sorted(order) == list(range(tree.leaves)) and tree.visits(x[0], 3)[0] == order[:3]
+    for n in (1, 3, 9):  # the one number a query carries lets in what the walk visited
+        some, least = tree.visits(x[1], n)
+        let_in = np.flatnonzero(tree.accepted(x[1][None], np.array([least]), np.arange(tree.leaves))[0])
+        assert set(some) <= set(let_in.tolist())
 
 
 def test_pieces_equal_the_library(spark):
