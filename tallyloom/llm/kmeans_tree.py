@@ -7,7 +7,7 @@ one pass over all rows, and the visits widen until the mean share of neighbours
 
 A node comes off the queue no later than another if the least priority on its path is higher.  So a query needs to carry only one number, the
 least priority that it has accepted: a leaf is visited if no node on its path is below.  Neighbouring leaves are packed into blocks of bounded size
-(a leaf that holds a third of all rows is many blocks); a block stays in its task while blocks of similar queries pass by.
+(a leaf that holds a third of all rows is many blocks); a block of similar queries stays in its task while the blocks that any of them visits pass by.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.common import arrow_rows, stored
 from tallyloom.llm.norm_buckets import ranked
-from tallyloom.llm.vectors import best, looked_up, matrix, meet, packed, usable
+from tallyloom.llm.vectors import best, kth, looked_up, matrix, meet, merged, packed, slices, usable
 
 SAMPLE = 20_000
 BRANCH = 12
@@ -31,7 +31,7 @@ SPREAD = 2.0
 CALIBRATION = 256
 RECALL = 0.96
 BLOCK_ROWS = 2048
-BLOCK_QUERIES = 512
+BLOCK_QUERIES = 1024
 
 
 class Tree:
@@ -131,16 +131,18 @@ class Tree:
         return out
 
 
-def top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int, seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each query's k best (query, vector, score) among ``ids`` (where ``seen``).  One product of matrices finds who can be among them; scores are each summed in one order."""
+def top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int, seen: np.ndarray | None = None, least: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each query's k best (query, vector, score) among ``ids`` (where ``seen``, and of at least the score ``least``).  One product of matrices finds who can be among them; scores are each summed in one order."""
     near = q @ v.T
     if seen is not None:
         near[~seen] = -np.inf
     near[q_ids[:, None] == ids] = -np.inf
     floor = np.partition(near, near.shape[1] - k, axis=1)[:, near.shape[1] - k] if near.shape[1] > k else np.full(len(q), -np.inf)
-    a, b, c = [], [], []
-    for i in range(len(q_ids)):
-        at = np.flatnonzero((near[i] >= floor[i] - 1e-9 * (1 + abs(floor[i]))) & (near[i] > -np.inf))
+    floor = floor if least is None else np.maximum(floor, least)
+    floor -= 1e-9 * (1 + np.where(np.isfinite(floor), np.abs(floor), 0))
+    a, b, c = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    for i in np.flatnonzero((near >= floor[:, None]).any(axis=1)).tolist():
+        at = np.flatnonzero((near[i] >= floor[i]) & (near[i] > -np.inf))
         scores = np.einsum("ij,j->i", v[at], q[i])
         keep = best(scores, ids[at], None, k)
         a.append(np.full(len(keep), q_ids[i]))
@@ -160,11 +162,7 @@ def exact(rows: DataFrame, queries: list, k: int) -> DataFrame:
         held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         for batch in batches:
             if batch.num_rows:
-                held = [np.concatenate(x) for x in zip(held, top(q_ids, q, batch.column(0).to_numpy(), matrix(batch.column(1), batch.num_rows), k), strict=True)]
-                order = np.lexsort((held[1], -held[2], held[0]))
-                held = [x[order] for x in held]
-                first = np.searchsorted(held[0], held[0], "left")
-                held = [x[np.arange(len(first)) - first < k] for x in held]
+                held = merged(held, top(q_ids, q, batch.column(0).to_numpy(), matrix(batch.column(1), batch.num_rows), k, None, kth(held, q_ids, k)), k)
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names=["query_id", "vec_id", "score"])
 
     return ranked(rows.select("vec_id", "v").mapInArrow(run, RESULT), k)
@@ -211,28 +209,30 @@ def search(table: DataFrame, is_query, k: int, recall: float = RECALL, id_col: s
     dealt = lambda df, block, parts: df.withColumn("block", block).withColumn("part", F.pmod(F.xxhash64("vec_id"), parts))
     index = packed(dealt(placed, row_block, row_parts), ["block", "part"], "v", float, ["leaf"])
     asked = queries.mapInArrow(walk, "vec_id long, v array<double>, leaf long, least double")
-    asked = stored(packed(dealt(asked, query_block, query_parts), ["block", "part"], "v", float, ["least"]), "asked")
+    asked = stored(packed(dealt(asked, query_block, query_parts), ["block", "part"], "v", float, ["least"]).withColumn("place", F.monotonically_increasing_id()), "asked")
+    n_slices = slices(asked.count())
     members = {r["block"]: (r["leaves"], r["parts"]) for r in placed.groupBy(row_block.alias("block"), row_parts.alias("parts")).agg(F.collect_set("leaf").alias("leaves")).collect()}
 
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A query block's copies: one for each part of each block of leaves that any of its queries visits."""
+    def visited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(place, block, part) of each part of each block of leaves that any query of a block visits."""
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, v, least = (batch.column(j)[i].as_py() for j in (2, 3, 4))
-                q = np.frombuffer(v, float).reshape(len(ids) // 8, -1)
-                for block, (leaves, parts) in members.items():
-                    if shared.value.accepted(q, np.frombuffer(least, float), np.array(leaves)).any():
-                        n = pa.array([block] * parts, pa.int64()), pa.array(range(parts), pa.int64())
-                        yield pa.RecordBatch.from_arrays([*n, *[pa.array([x] * parts, pa.binary()) for x in (ids, v, least)]], names=["block", "part", "q_ids", "q", "least"])
-
-    def score(rows: tuple, asking: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+                least = np.frombuffer(batch.column(2)[i].as_py(), float)
+                q = np.frombuffer(batch.column(1)[i].as_py(), float).reshape(len(least), -1)
+                met = [(block, part) for block, (leaves, parts) in members.items() if shared.value.accepted(q, least, np.array(leaves)).any() for part in range(parts)]
+                yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[i].as_py()] * len(met), pa.int64()), *[pa.array([x[j] for x in met], pa.int64()) for j in (0, 1)]], names=["place", "block", "part"])
+
+    def score(asking: tuple, rows: tuple, held: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         ids, leaf, q_ids = np.frombuffer(rows[0], np.int64), np.frombuffer(rows[2], np.int64), np.frombuffer(asking[0], np.int64)
         v, q = np.frombuffer(rows[1], float).reshape(len(ids), -1), np.frombuffer(asking[1], float).reshape(len(q_ids), -1)
         here, place = np.unique(leaf, return_inverse=True)
-        return top(q_ids, q, ids, v, k, shared.value.accepted(q, np.frombuffer(asking[2], float), here)[:, place])
+        return top(q_ids, q, ids, v, k, shared.value.accepted(q, np.frombuffer(asking[2], float), here)[:, place], kth(held, q_ids, k))
 
-    travelling = asked.mapInArrow(cells, "block long, part long, q_ids binary, q binary, least binary")
-    found = ranked(meet(index, travelling, ["block", "part"], score, RESULT), k)
+    cells = asked.select("place", "v", "least").mapInArrow(visited, "place long, block long, part long")
+    slice_of = F.pmod(F.xxhash64("block", "part"), F.lit(n_slices))
+    travelling = index.join(cells, ["block", "part"]).select("place", slice_of.alias("slice"), F.lit(0).alias("turn"), "vec_id", "v", "leaf")
+    staying = asked.select("place", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_slices - 1).cast("long"))).alias("slice"), "vec_id", "v", "least")
+    found = ranked(meet(staying, travelling, k, float, score, RESULT), k)
     return found.withColumn("visits", F.lit(visits)).withColumn("leaves", F.lit(tree.leaves))
 
 

@@ -8,9 +8,9 @@ query q can only gain from vectors whose cosine with it is at least
 
 If t > 1 the whole bucket falls away.  If t is high, *coordinate* pruning bounds each product by the focus
 coordinates' partial product plus the lengths of both rests; if it is low, *length* pruning scans the bucket in falling length and
-stops where |q| |v| < bound.  Survivors' products are verified in integers.
+stops where |q| |v| < bound.  Survivors' products are verified in integers, and raise the bound.
 
-A bucket stays in its task; query blocks travel to the buckets that are long enough for the least demanding of their queries.
+A block of queries stays in its task while the buckets that are long enough for the least demanding of its queries pass by, longest first.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import arrow_rows, stored
-from tallyloom.llm.vectors import best, looked_up, matrix, meet, packed, usable
+from tallyloom.llm.vectors import best, kth, looked_up, matrix, meet, packed, slices, usable
 
 BUCKET_ROWS = 2048
 OCTAVE = 8
@@ -106,7 +106,7 @@ def norm_bucketed(table: DataFrame, is_query, k: int, scale: int = 256, id_col:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     top = max(parts)
     split = lambda g: looked_up([parts.get(i, 0) for i in range(-1, top + 1)], g + 1)
-    buckets = packed(whole.withColumn("salt", F.pmod(F.xxhash64("vec_id"), split(F.col("g")))), ["g", "salt"], "w", np.int64)
+    buckets = stored(packed(whole.withColumn("salt", F.pmod(F.xxhash64("vec_id"), split(F.col("g")))), ["g", "salt"], "w", np.int64), "buckets")
     longest = [(r["vec_id"], r["w"]) for r in whole.orderBy(F.desc("norm2"), "vec_id").limit(SEED_ROWS).collect()]
     seed_ids, seed = np.array([x[0] for x in longest], np.int64), np.array([x[1] for x in longest], np.int64)
     queries = whole.where(is_query).select("vec_id", "w")
@@ -131,13 +131,16 @@ def norm_bucketed(table: DataFrame, is_query, k: int, scale: int = 256, id_col:
     least = reach.select("qb", F.when(F.col("reach") == float("inf"), top).when(F.col("reach") > 0, F.floor(2 * F.log2("reach") * OCTAVE - 1e-6)).otherwise(-1).cast("long").alias("least"))
     groups = least.select("qb", F.explode(F.sequence(F.least("least", F.lit(top)), F.lit(top).cast("long"))).alias("g")).withColumn("n", split(F.col("g"))).where("n > 0")
     cells = groups.select("qb", "g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("salt"))
-    blocks = stored(packed(asked.withColumnRenamed("w", "q"), ["qb"], "q", np.int64, ["bound"]), "query-blocks")
+    dealt = slices(q_blocks)
+    travelling = buckets.join(cells, ["g", "salt"]).select(F.col("qb").alias("place"), F.pmod(F.xxhash64("g", "salt"), F.lit(dealt)).alias("slice"), (-F.col("g")).alias("turn"), "vec_id", "w")
+    staying = packed(asked.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(dealt - 1).cast("long")))).withColumnRenamed("qb", "place"), ["place", "slice"], "w", np.int64, ["bound"])
 
-    def verified(bucket: tuple, block: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        ids, q_ids, bounds = np.frombuffer(bucket[0], np.int64), np.frombuffer(block[0], np.int64), np.frombuffer(block[2], float)
+    def verified(block: tuple, bucket: tuple, held: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ids, q_ids = np.frombuffer(bucket[0], np.int64), np.frombuffer(block[0], np.int64)
+        bounds = np.maximum(np.frombuffer(block[2], float), kth(held, q_ids, k))
         return search_bucket(q_ids, np.frombuffer(block[1], np.int64).reshape(len(q_ids), -1), bounds, ids, np.frombuffer(bucket[1], np.int64).reshape(len(ids), -1), k)[:3]
 
-    return ranked(meet(buckets, blocks.join(cells, "qb").drop("qb"), ["g", "salt"], verified, RESULT), k)
+    return ranked(meet(staying, travelling, k, np.int64, verified, RESULT), k)
 
 
 def ranked(found: DataFrame, k: int) -> DataFrame:

@@ -87,31 +87,60 @@ def packed(rows: DataFrame, keys: list[str], vector: str, dtype: type, more: lis
     return dealt.mapInArrow(run, schema)
 
 
-Met = Callable[[tuple, tuple], tuple[np.ndarray, np.ndarray, np.ndarray]]
+def merged(held: list[np.ndarray], new: tuple[np.ndarray, ...], k: int) -> list[np.ndarray]:
+    """The k best of each query among (query, vector, score) held and new: by query, then best first."""
+    both = [np.concatenate(x) for x in zip(held, new, strict=True)]
+    order = np.lexsort((both[1], -both[2], both[0]))
+    both = [x[order] for x in both]
+    keep = np.arange(len(order)) - np.searchsorted(both[0], both[0], "left") < k
+    return [x[keep] for x in both]
 
 
-def meet(blocks: DataFrame, queries: DataFrame, keys: list[str], work: Met, result: str) -> DataFrame:
-    """(query_id, vec_id, score) that ``work(block, query block)`` gives for each packed query block that carries a packed block's keys.
+def kth(held: list[np.ndarray], q_ids: np.ndarray, k: int) -> np.ndarray:
+    """The k-th score that each query holds, or -inf."""
+    lo, hi = np.searchsorted(held[0], q_ids, "left"), np.searchsorted(held[0], q_ids, "right")
+    out = np.full(len(q_ids), -np.inf)
+    full = hi - lo >= k
+    out[full] = held[2][hi[full] - 1]
+    return out
 
-    A block goes to one task and stays there while its query blocks pass by one at a time, so only queries are copied.
+
+Fold = Callable[[tuple, tuple, list], tuple]
+
+
+def meet(queries: DataFrame, blocks: DataFrame, k: int, scores: type, fold: Fold, result: str) -> DataFrame:
+    """(query_id, vec_id, score): the k best of each query in the blocks sent to its place.
+
+    ``queries`` (place, slice, bytes...) and ``blocks`` (place, slice, turn, bytes...) are packed.  A block of queries stays in its task with the best that it holds,
+    while blocks of vectors pass by one at a time in order of ``turn``; ``fold(query block, block, held)`` gives what a block adds.  So a task holds two
+    blocks, and gives k rows for each query.
     """
-    columns = [c for c in blocks.columns if c not in keys]
-    more = [c for c in queries.columns if c not in keys]
-    side = lambda df, kind, mine: df.select(*keys, F.lit(kind).alias("kind"), *[F.col(c).alias(f"b{i}") if i < len(mine) else F.lit(None).cast("binary").alias(f"b{i}") for i, c in enumerate([*mine, *[None] * (max(len(columns), len(more)) - len(mine))])])
-    both = side(blocks, 0, columns).unionByName(side(queries, 1, more))
+    keys = ["place", "slice"]
+    ask, give = ([c for c in df.columns if c not in (*keys, "turn")] for df in (queries, blocks))
+    width = max(len(ask), len(give))
+    blob = lambda names, i: F.col(names[i]).cast("binary") if i < len(names) else F.lit(None).cast("binary")
+    side = lambda df, kind, turn, names: df.select(*keys, F.lit(kind).alias("kind"), turn.alias("turn"), *[blob(names, i).alias(f"b{i}") for i in range(width)])
+    both = side(queries, 0, F.lit(0).cast("long"), ask).unionByName(side(blocks, 1, F.col("turn").cast("long"), give))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = None
+        now, block, held = None, None, []
+        out = lambda: pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1]), pa.array(held[2])], names=["query_id", "vec_id", "score"])
         for batch in batches:
             for i in range(batch.num_rows):
-                kind = batch.column(len(keys))[i].as_py()
-                blobs = tuple(batch.column(len(keys) + 1 + j)[i].as_py() for j in range(len(columns) if kind == 0 else len(more)))
-                key = tuple(batch.column(j)[i].as_py() for j in range(len(keys)))
-                if kind == 0:
-                    block = key, blobs
-                elif block is not None and block[0] == key:
-                    a, b, c = work(block[1], blobs)
-                    if len(a):
-                        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c)], names=["query_id", "vec_id", "score"])
-
-    return both.repartition(*keys).sortWithinPartitions(*keys, "kind").mapInArrow(run, result)
+                key = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                if batch.column(2)[i].as_py() == 0:
+                    if now is not None:
+                        yield out()
+                    now, block = key, tuple(batch.column(4 + j)[i].as_py() for j in range(len(ask)))
+                    held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, scores)]
+                elif key == now:
+                    held = merged(held, fold(block, tuple(batch.column(4 + j)[i].as_py() for j in range(len(give))), held), k)
+        if now is not None:
+            yield out()
+
+    return both.repartition(*keys).sortWithinPartitions(*keys, "kind", "turn").mapInArrow(run, result)
+
+
+def slices(query_blocks: int, wanted: int = 64) -> int:
+    """Into how many parts the blocks that pass by a query block are dealt: more than one only where query blocks are too few to keep a cluster busy."""
+    return max(1, -(-wanted // max(1, query_blocks)))
