@@ -1,11 +1,12 @@
 """Language identification: averaged hashed subword embeddings with a linear softmax.
 
-A text's hidden vector is the mean of the embeddings of all its hashed byte n-grams (case folded); a softmax layer gives the
+A text's hidden vector is the mean of the embeddings of all its hashed byte n-grams (case folded; of letters and spaces); a softmax layer gives the
 languages.  Both layers are trained by stochastic gradient descent in numpy on a bounded sample of labelled
 documents.  As the mean is linear, embeddings and softmax weights fold into one table of logits per
 bucket for prediction.  A temperature is fitted on documents held back from training.  How well a text is known is the
 mean log-frequency of its n-grams among those trained on; a document is rejected if that is below a low quantile of the
-documents held back by more than a quarter of what lies between this and their median.  The probability cannot say this: it only shares out 1 among the languages learned, so it is low for a
+documents held back by more than a quarter of what lies between this and their median, and by more than chance explains at its length.
+The probability cannot say this: it only shares out 1 among the languages learned, so it is low for a
 mixture of them and may be high for a text in none.
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField,
 
 from tallyloom.llm.common import arrow_rows, free_name
 from tallyloom.llm.ngrams import hashed, text_blocks
-from tallyloom.llm.textops import buffers
+from tallyloom.llm.textops import SEPARATOR, buffers
 
 BITS = 16
 ORDERS = (2, 3, 4)
@@ -31,14 +32,27 @@ TRAIN_DOCS = 2000
 UNKNOWN = "und"
 REJECT_QUANTILE = 0.001
 REJECT_SLACK = 0.25
+REJECT_CHANCE = 3.0
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[65:91] = True
 _LETTER[97:123] = True
 
 
+#: what an n-gram may hold: letters, bytes beyond ASCII, white space
+_KEEP = _LETTER | SEPARATOR
+_KEEP[128:] = True
+
+
 def grams(piece: np.ndarray) -> np.ndarray:
-    return np.concatenate([hashed(piece, order, BITS, True) for order in ORDERS])
+    """Buckets of the n-grams without digits and ASCII punctuation: numbers, secrets and marks tell no language."""
+    keep = _KEEP[piece]
+    out, fine = [], keep
+    for order in range(2, max(ORDERS) + 1):
+        fine = fine[:-1] & keep[order - 1 :]
+        if order in ORDERS:
+            out.append(hashed(piece, order, BITS, True)[fine[: max(0, len(piece) - order + 1)]])
+    return np.concatenate(out)
 
 
 def has_letter(piece: np.ndarray) -> bool:
@@ -60,6 +74,11 @@ class Model:
     heat: float = 1.0
     known: np.ndarray | None = None
     reject: float = -np.inf
+    scatter: float = 0.0
+
+    def rejects(self, known: float, count: int) -> bool:
+        """Whether a text of ``count`` n-grams of the mean log-frequency ``known`` is too strange; neighbours overlap, so about one in nine is evidence of its own.  Without n-grams there is none."""
+        return count > 0 and known + REJECT_CHANCE * self.scatter / np.sqrt(count / 9) < self.reject
 
     def probabilities(self, total: np.ndarray, count: int) -> np.ndarray:
         z = (total / max(count, 1) + self.bias) * self.heat
@@ -110,6 +129,9 @@ def fit(rows: list[Row], names: list[str], seed: int = 11) -> Model | None:
     for i in inn:
         seen[rows[i][0]] += rows[i][1]
     model.known = np.log((seen + 1) / (seen.sum() + len(seen))).astype(np.float32)
+    total = max(1.0, seen.sum())
+    centre = float(seen @ model.known / total)
+    model.scatter = float(np.sqrt(seen @ (model.known.astype(np.float64) - centre) ** 2 / total))
     mean = lambda table, row: row[1] @ table[row[0]].astype(np.float64) / max(1, row[1].sum())
     if held.any():
         z = np.stack([mean(model.table, rows[i]) + model.bias for i in np.flatnonzero(held)])
@@ -178,7 +200,7 @@ def _predicted(shared, text_at: int, names: tuple[str, ...]):
                     if letter and not nulls[i]:
                         p = model.probabilities(total, count)
                         k = int(p.argmax())
-                        pred[i], score[i], reject[i] = model.langs[k], p[k], known / max(count, 1) < model.reject
+                        pred[i], score[i], reject[i] = model.langs[k], p[k], model.rejects(known / max(count, 1), count)
                     total, known, count, letter = 0.0, 0.0, 0, False
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred), pa.array(score), pa.array(reject)], names=[*batch.schema.names, *names])
 

@@ -41,6 +41,7 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 WIDEST = 48
 WINDOW = 1 << 20
 FALLBACK = -2
+MAX_STEPS = 1_000_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -206,6 +207,7 @@ class PieceFst:
         #: whether words, and runs of line ends, can be read on their own: no piece and no run of unknown characters spans their start
         self.by_word, self.by_line = front and (spec.byte_fallback or MARK in self.id), lines
         self.merges = _Merges(self) if bpe else None
+        self.steps: dict[tuple[int, int], bool] = {}
         self.table = SpanTable(self._learn)
 
     def _compile(self) -> None:
@@ -276,7 +278,12 @@ class PieceFst:
 
     def open(self, s: int, t: int) -> bool:
         """Whether the merge machine lets piece t follow piece s (-1: nothing)."""
-        return bool(self.merges.open(np.array([s]), np.array([t]))[0])
+        got = self.steps.get((s, t))
+        if got is None:
+            if len(self.steps) >= MAX_STEPS:
+                self.steps.clear()
+            got = self.steps[s, t] = bool(self.merges.open(np.array([s]), np.array([t]))[0])
+        return got
 
     def shortest(self, chunk: str) -> list[int]:
         """Pieces of the least-weight path through the composition with ``chunk``; FALLBACK for a character that has none."""
