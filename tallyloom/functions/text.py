@@ -181,8 +181,11 @@ def heading(c: Column, most: int = 15) -> Column:
     return F.when(F.size(head) == 0, F.array_join(short, " ")).when(F.size(head) > most, F.concat(F.array_join(F.slice(head, 1, most), " "), F.lit("..."))).otherwise(F.array_join(head, " "))
 
 
-#: Sections that follow an item table.
-AFTER_TABLE = ["notes and clarifications", "clarifications and deviations", "exclusions", "terms and conditions", "general notes"]
+#: Sections that follow an item table, then those that end one wherever they stand.
+AFTER_TABLE = [
+    "notes and clarifications", "notes clarifications", "exclusions", "clarifications and deviations",
+    "scope definition", "scope defin", "commercial conditions", "terms and conditions", "scope of supply", "technical specifications", "warranty", "payment terms", "delivery terms",
+]
 #: Labels of total rows.
 TOTAL_LABELS = ["total", "grand total", "net total", "total amount", "final total", "total payable", "net amount", "amount payable", "subtotal", "sub total", "sub-total", "total before tax"]
 

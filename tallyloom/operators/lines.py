@@ -14,10 +14,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Labels that announce a document's fields.
-CUSTOMER_LABELS = ["customer name", "customer", "client", "company", "to"]
-SUBJECT_LABELS = ["subject", "sub", "re"]
-NUMBER_LABELS = ["quotation no", "quotation number", "quote no", "our ref", "offer no", "ref no", "ref"]
+#: Labels that announce a document's fields, in the order in which they are tried.  Labels with a seller's own name are handed in.
+CUSTOMER_LABELS = ["customer", "customer name", "client", "client name", "bill to", "ship to", "buyer", "to"]
+SUBJECT_LABELS = ["subject", "sub", "re", "regarding"]
+NUMBER_LABELS = [
+    "quotation no", "quotation no.", "quotation number", "quote no", "quote no.", "quote number", "quotation ref", "quotation reference", "proposal no", "proposal no.", "proposal number",
+    "offer no", "offer no.", "reference no", "ref no", "our quotation no", "our quotation no.", "our quotation number", "our quote no", "our quote no.", "ref",
+]
 #: Names of table columns.
 HEADER_NAMES = {
     "item_no": ["sr no", "sr. no", "s.no", "s. no", "sl no", "sl. no", "sl.no", "no", "no.", "item no", "item no.", "item number", "item"],
@@ -204,14 +207,14 @@ def read_item(block: list[str], number: int, strict: bool = False) -> Item:
     return item
 
 
-def parse_lines(lines: list[str], strict: bool = False) -> dict:
+def parse_lines(lines: list[str], strict: bool = False, number_labels: list[str] = NUMBER_LABELS) -> dict:
     """Fields, totals, items, warnings and confidence of a document."""
     lines = [x.strip() for x in lines if x.strip()]
     customer = labelled_value(lines, CUSTOMER_LABELS, 60)
     how = "HIGH" if customer else "LOW"
     if not customer and (m := next((m for x in lines[:60] if (m := re.match(r"(?i)\s*(m/s\.?\s*.+)", x))), None)):
         customer, how = m[1].strip(), "MEDIUM"
-    number = labelled_value(lines, NUMBER_LABELS, 80)
+    number = labelled_value(lines, number_labels, 80)
     number = re.sub(r"(?i)dated.*$", "", number.split()[0]).rsplit("-", 1)[-1] if number.split() else ""
     dates = [r"\d{1,2}[./-]\d{1,2}[./-]\d{2,4}", r"\d{4}[./-]\d{1,2}[./-]\d{1,2}", r"\d{1,2}\s+[A-Za-z]+\s+\d{2,4}"]
     date = next((m[0] for x in lines[:100] if "date" in x.lower() for p in dates if (m := re.search(p, x))), "")

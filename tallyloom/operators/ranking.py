@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 def _checkpointed(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tallyloom-"))
+    if not spark.sparkContext.getCheckpointDir():
+        found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        if not found and (not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(found or tempfile.mkdtemp(prefix="tallyloom-"))
     return df.checkpoint()
 
 

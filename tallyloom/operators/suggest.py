@@ -41,19 +41,24 @@ def _alike(keyed: DataFrame, least: float) -> DataFrame:
 def alias_pairs(spellings: DataFrame, least: float = 0.75) -> DataFrame:
     """For each spelling the best more frequent one it may stand for: (alias, canonical, score, reason).
 
+    Spellings with the same letters and digits count as one, shown as the most frequent of them; truncated ones are neither side of a pair.
+
     Pairs meet on a shared token, a shared collapsed prefix of four letters, or a shared initial token prefix, or if their lengths and
-    letters allow a ratio of ``least``, which loses no like pair; different digit runs or roman numerals rule a pair out.  Abbreviation and plural come before containment, that before plain likeness.
+    letters allow a ratio of ``least``, which loses no like pair; different digit runs or roman numerals rule a pair out.  Abbreviation and plural come before likeness of ``least``, that before containment.
     """
-    keyed = spellings.select("spelling", "n", "rank", T.collapse_key(F.col("spelling")).alias("k"), makes.variant_markers(F.col("spelling")).alias("m"), makes.token_list(F.col("spelling")).alias("t"))
+    one = spellings.groupBy(T.collapse_key(F.col("spelling")).alias("k")).agg(F.max_by("spelling", F.struct("n", -F.col("rank"))).alias("spelling"), F.sum("n").alias("n"))
+    spellings = with_rank(one.drop("k"), [F.desc("n"), "spelling"])
+    keyed = spellings.where(~makes.is_truncated(F.col("spelling"))).select("spelling", "n", "rank", T.collapse_key(F.col("spelling")).alias("k"), makes.variant_markers(F.col("spelling")).alias("m"), makes.token_list(F.col("spelling")).alias("t"))
     blocks = F.array_distinct(F.concat(F.col("t"), F.array(F.concat(F.lit("^"), F.substring("k", 1, 4))), F.transform("t", lambda x: F.concat(F.lit("~"), F.substring(x, 1, 2)))))
     side = lambda p: keyed.select(*[F.col(c).alias(p + c) for c in ("spelling", "n", "rank", "k", "m")], F.explode(blocks).alias("block"))
     pairs = side("a_").join(side("b_"), "block").where("a_rank > b_rank").drop("block").where("a_m = b_m")
     pairs = pairs.unionByName(_alike(keyed, least)).distinct()
     a, b = F.col("a_spelling"), F.col("b_spelling")
     score = F.round(sequence_ratio(F.col("a_k"), F.col("b_k")), 4)
-    reason = F.when(F.col("a_k") == F.col("b_k"), "COSMETIC").when(makes.abbreviates(a, b), "ABBREVIATION").when(makes.plural_of(a, b), "PLURAL").when(makes.contains_whole_tokens(a, b), "CONTAINMENT").when(score >= least, "SIMILAR")
-    strength = F.when(F.col("reason") == "SIMILAR", 1).when(F.col("reason") == "CONTAINMENT", 2).otherwise(3)
-    told = pairs.withColumn("score", score).withColumn("reason", reason).where("reason is not null").where(~makes.is_truncated(a))
+    within = makes.contains_whole_tokens(a, b) | makes.contains_whole_tokens(b, a)
+    reason = F.when(makes.abbreviates(a, b), "ABBREVIATION").when(makes.plural_of(a, b), "PLURAL").when(score >= least, "SIMILAR").when(within, "CONTAINMENT")
+    strength = F.when(F.col("reason") == "CONTAINMENT", 1).when(F.col("reason") == "SIMILAR", 2).otherwise(3)
+    told = pairs.withColumn("score", score).withColumn("reason", reason).where("reason is not null")
     best = F.max_by(F.struct(b.alias("canonical"), "score", "reason"), F.struct(strength, "score", -F.col("b_rank")))
     return told.groupBy(a.alias("alias")).agg(best.alias("x")).select("alias", "x.*")
 

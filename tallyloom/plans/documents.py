@@ -74,11 +74,11 @@ def q_doc_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
 STOP = ["THE", "AND", "FOR", "WITH"]
 
 
-@query("""WITH w AS (SELECT doc_id, list_filter(list_transform(regexp_extract_all(text, '[A-Za-z][A-Za-z\\-]{2,}'), lambda x: upper(x)), lambda x: x NOT IN ('THE', 'AND', 'FOR', 'WITH')) AS w FROM documents WHERE lang = 'en'),
+@query("""WITH w AS (SELECT doc_id, list_filter(list_transform(regexp_extract_all(text, '[A-Za-z][A-Za-z\\-]{2,}'), lambda x: upper(x)), lambda x: x NOT IN ('THE', 'AND', 'FOR', 'WITH')) AS w FROM documents),
 p AS (SELECT doc_id, unnest(list_distinct(list_concat(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]), list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])))) AS phrase FROM w)
 SELECT phrase, count(*) AS n_rows FROM p GROUP BY phrase ORDER BY n_rows DESC, phrase LIMIT 60""")
 def q_ngram_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suggest.phrase_frequencies(table(spark, sf_dir, "documents").where("lang = 'en'"), "text", STOP)
+    return suggest.phrase_frequencies(table(spark, sf_dir, "documents"), "text", STOP)
 
 
 @query("""SELECT conv_id, turn, line_no, line FROM (SELECT conv_id, turn, unnest(range(len(ls))) AS line_no, unnest(ls) AS line FROM (SELECT conv_id, turn, list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') AS ls FROM conversations))""")

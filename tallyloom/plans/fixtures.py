@@ -1,4 +1,4 @@
-"""Queries over small invented texts and word layouts, with the expected rows as their SQL."""
+"""Offers and pages written from orders and line items, so that the parsers run over thousands of documents whose content the tables tell."""
 
 from __future__ import annotations
 
@@ -10,87 +10,133 @@ from tallyloom.operators import layout, lines
 from tallyloom.plans import query
 from tallyloom.sources.tables import table
 
-OFFER = """Quotation No: Q24W10132R3
-Date: 05.06.2025
-To
-Kind Attention: Mr. A. Sample
-Blue Harbour Works
-Subject: Offer for analysers
-Sr No
-Description
-Qty
-Unit Price
-Total Price
-1
-Gas analyser
-Make: FERROX
-Model: GX 20
-2 Nos
-10,000
-20,000
-2
-Sample pump
-150
-Meters
-Included
-5,500/-
-Note:
-1. Prices are firm
-2. Freight is extra
-3
-Spare filter
-Grand Total
-25,500
-"""
-
-
-def _offer(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([("offer.txt", OFFER), ("empty.txt", "")], "source_path string, text string")
-
-
-@query("""
-SELECT * FROM (VALUES ('offer.txt', '1', 'Gas analyser', 'FERROX', 'GX 20', 2.0::DOUBLE, 'Nos', 10000.0::DOUBLE, 20000.0::DOUBLE, 'HIGH'),
-  ('offer.txt', '2', 'Sample pump', '', '', 150.0, 'Meters', NULL, 5500.0, 'HIGH'), ('offer.txt', '3', 'Spare filter', '', '', NULL, '', NULL, NULL, 'LOW'))
-  t(source_path, item_no, description, make, model, quantity, unit, unit_price, total_price, confidence)""")
+#: one row per item of an order: its place, part, quantity and whole prices.  Kinds 0..6: plain, own unit line, included unit price, no prices, labelled make, one price, units glued
+ITEMS_SQL = """
+numbered AS (
+  SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax, l_shipdate) AS item, l_partkey, l_suppkey,
+    l_quantity::BIGINT AS qty, (1000 + floor(l_extendedprice))::BIGINT AS price FROM lineitem
+), items AS (
+  SELECT n.*, p_name AS name, p_size AS size, l_suppkey % 7 AS kind FROM numbered n JOIN part ON p_partkey = l_partkey
+)"""
+
+
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_shipdate")
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("name"), F.col("p_size").alias("size"))
+    rows = table(spark, sf_dir, "lineitem").withColumn("item", F.row_number().over(order)).join(part, "l_partkey")
+    return rows.select("l_orderkey", "item", "name", "size", F.col("l_quantity").cast("long").alias("qty"), (1000 + F.floor("l_extendedprice")).cast("long").alias("price"), (F.col("l_suppkey") % 7).alias("kind"))
+
+
+def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source_path, text): one offer per order, some without a customer, a subject or a table."""
+    line = lambda *x: F.concat_ws("\n", *[v if not isinstance(v, str) else F.lit(v) for v in x])
+    grouped = lambda x: F.format_number(x, 0)
+    total = grouped(F.col("price") * F.col("qty"))
+    unit = F.concat(F.col("qty").cast("string"), F.lit(" Nos"))
+    no, kind = F.col("item").cast("string"), F.col("kind")
+    block = (
+        F.when(kind == 1, line(no, F.col("name"), F.col("qty").cast("string"), "Nos", grouped(F.col("price")), total))
+        .when(kind == 2, line(no, F.col("name"), unit, "Included", total))
+        .when(kind == 3, line(no, F.col("name")))
+        .when(kind == 4, line(no, F.col("name"), "Make: FERROX", F.concat(F.lit("Model: GX "), F.col("size").cast("string")), unit, grouped(F.col("price")), total))
+        .when(kind == 5, line(no, F.col("name"), unit, total))
+        .otherwise(line(no, F.col("name"), unit, grouped(F.col("price")), total))
+    )
+    body = _items(spark, sf_dir).groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("item", block.alias("block")))), lambda x: x["block"]), "\n").alias("body"))
+    orders = table(spark, sf_dir, "orders").join(body, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    buyer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.concat(F.lit("Works "), F.translate("c_name", "#", " ")).alias("buyer"))
+    k = F.col("o_orderkey")
+    rows = orders.join(buyer, "o_custkey", "left")
+    text = line(
+        F.concat(F.lit("Quotation No: Q24W"), F.lpad(k.cast("string"), 8, "0"), F.lit("R1 dated today")),
+        F.concat(F.lit("Date: "), F.date_format("o_orderdate", "dd.MM.yyyy")),
+        F.when(k % 11 != 0, F.concat(F.lit("To\nKind Attention: Mr. A. Sample\n"), F.col("buyer"))),
+        F.when(k % 13 != 0, F.concat(F.lit("Subject: Offer for order "), k.cast("string"))),
+        F.when(F.col("body").isNotNull(), line("Sr No", "Description", "Qty", "Unit Price", "Total Price", F.col("body"), "Grand Total", "Note:", "1. Prices are firm", "2. Freight is extra")),
+        F.concat(F.lit("Total Amount: "), grouped(F.floor("o_totalprice"))),
+    )
+    return rows.select(F.concat(F.lit("order-"), k.cast("string"), F.lit(".txt")).alias("source_path"), text.alias("text"))
+
+
+@query(f"""WITH {ITEMS_SQL}
+SELECT 'order-' || l_orderkey || '.txt' AS source_path, item::VARCHAR AS item_no, name AS description, CASE WHEN kind = 4 THEN 'FERROX' ELSE '' END AS make, CASE WHEN kind = 4 THEN 'GX ' || size ELSE '' END AS model,
+  CASE WHEN kind <> 3 THEN qty::DOUBLE END AS quantity, CASE WHEN kind <> 3 THEN 'Nos' ELSE '' END AS unit,
+  CASE WHEN kind NOT IN (2, 3, 5) THEN price::DOUBLE END AS unit_price, CASE WHEN kind <> 3 THEN (price * qty)::DOUBLE END AS total_price,
+  CASE WHEN kind = 3 THEN 'LOW' WHEN kind = 5 THEN 'MEDIUM' ELSE 'HIGH' END AS confidence
+FROM items""")
 def q_boq_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = lines.parse_documents(_offer(spark))
+    parsed = lines.parse_documents(offers(spark, sf_dir))
     return lines.items_of(parsed).select("source_path", "item_no", "description", "make", "model", "quantity", "unit", "unit_price", "total_price", "confidence")
 
 
-@query("""
-SELECT * FROM (VALUES ('offer.txt', 'Blue Harbour Works', 'Offer for analysers', 'Q24W10132R3', '05.06.2025', 25500.0::DOUBLE, 'HIGH'), ('empty.txt', '', '', '', '', NULL, 'LOW'))
-  t(source_path, customer, subject, quotation_number, quotation_date, grand_total, document_confidence)""")
+FIELDS_SQL = """
+fields AS (
+  SELECT o_orderkey, 'order-' || o_orderkey || '.txt' AS source_path, CASE WHEN o_orderkey % 11 <> 0 AND c_name IS NOT NULL THEN 'Works ' || replace(c_name, '#', ' ') ELSE '' END AS customer,
+    CASE WHEN o_orderkey % 13 <> 0 THEN 'Offer for order ' || o_orderkey ELSE '' END AS subject, 'Q24W' || lpad(o_orderkey::VARCHAR, 8, '0') || 'R1' AS quotation_number, strftime(o_orderdate, '%d.%m.%Y') AS quotation_date,
+    floor(o_totalprice)::DOUBLE AS grand_total, EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) AS boq_detected
+  FROM orders LEFT JOIN customer ON c_custkey = o_custkey
+)"""
+
+
+@query(f"""WITH {FIELDS_SQL}
+SELECT source_path, customer, subject, quotation_number, quotation_date, grand_total, boq_detected,
+  CASE WHEN boq_detected AND (customer <> '')::INT + (subject <> '')::INT >= 1 THEN 'HIGH' WHEN boq_detected THEN 'MEDIUM' ELSE 'LOW' END AS document_confidence FROM fields""")
 def q_label_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = lines.parse_documents(spark.createDataFrame([("offer.txt", OFFER.replace("Grand Total\n25,500", "Grand Total: 25,500")), ("empty.txt", "")], "source_path string, text string"))
-    return parsed.select("source_path", "customer", "subject", "quotation_number", "quotation_date", "grand_total", "document_confidence")
+    return lines.parse_documents(offers(spark, sf_dir)).select("source_path", "customer", "subject", "quotation_number", "quotation_date", "grand_total", "boq_detected", "document_confidence")
 
 
-@query("""
-SELECT * FROM (VALUES ('offer.txt', 'item', 'ITEM_CONFIDENCE_LOW'), ('offer.txt', 'document', 'ITEM_3_NO_PRICE_VALUES'), ('empty.txt', 'document', 'CUSTOMER_MISSING'), ('empty.txt', 'document', 'SUBJECT_MISSING'), ('empty.txt', 'document', 'TABLE_MISSING')) t(source_path, kind, reason)""")
+@query(f"""WITH {ITEMS_SQL}, {FIELDS_SQL}
+SELECT source_path, 'document' AS kind, 'CUSTOMER_MISSING' AS reason FROM fields WHERE customer = ''
+UNION ALL SELECT source_path, 'document', 'SUBJECT_MISSING' FROM fields WHERE subject = ''
+UNION ALL SELECT source_path, 'document', 'TABLE_MISSING' FROM fields WHERE NOT boq_detected
+UNION ALL SELECT 'order-' || l_orderkey || '.txt', 'document', 'ITEM_' || item || CASE WHEN kind = 3 THEN '_NO_PRICE_VALUES' ELSE '_ONLY_ONE_VALUE' END FROM items WHERE kind IN (3, 5)
+UNION ALL SELECT 'order-' || l_orderkey || '.txt', 'item', 'ITEM_CONFIDENCE_' || CASE WHEN kind = 3 THEN 'LOW' ELSE 'MEDIUM' END FROM items WHERE kind IN (3, 5)""")
 def q_parser_review(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.review_of(lines.parse_documents(_offer(spark)))
+    return lines.review_of(lines.parse_documents(offers(spark, sf_dir)))
 
 
-PAGE = [("1", 0, 100), ("Widget", 20, 100), ("Assembly", 55, 100), ("1,500", 120, 100), ("2", 0, 120), ("Gasket", 20, 120), ("Set", 55, 120), ("2,000", 120, 120), ("3", 0, 140), ("Bracket", 20, 140), ("Kit", 55, 140), ("3,250", 120, 140)]
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words with their places: a page per order of two items or more, a line per item; every fifth page is set with larger gaps between lines."""
+    from pyspark.sql import Window
 
+    items = _items(spark, sf_dir).withColumn("n", F.count("*").over(Window.partitionBy("l_orderkey"))).where("n > 1")
+    y = 100 + F.col("item") * F.when(F.col("l_orderkey") % 5 == 0, 32).otherwise(20)
+    cells = F.array(
+        F.struct(F.lit(0.0).alias("x"), F.col("item").cast("string").alias("text")),
+        F.struct(F.lit(60.0).alias("x"), F.split_part("name", F.lit(" "), F.lit(1)).alias("text")),
+        F.struct((65.0 + 5 * F.length(F.split_part("name", F.lit(" "), F.lit(1)))).alias("x"), F.split_part("name", F.lit(" "), F.lit(2)).alias("text")),
+        F.struct(F.lit(260.0).alias("x"), F.format_number("price", 0).alias("text")),
+    )
+    words = items.select("l_orderkey", y.cast("double").alias("y0"), F.explode(cells).alias("c"))
+    return words.select(F.col("l_orderkey").alias("page"), F.col("c.x").alias("x0"), "y0", (F.col("c.x") + 5.0 * F.length("c.text")).alias("x1"), (F.col("y0") + 8).alias("y1"), F.col("c.text").alias("text"))
 
-@query("""
-SELECT * FROM (VALUES (7, 1, '1', 'Widget Assembly', '1,500'), (7, 2, '2', 'Gasket Set', '2,000'), (7, 3, '3', 'Bracket Kit', '3,250')) t(page, row_seq, item_no, description, unit_price)""")
+
+@query(f"""WITH {ITEMS_SQL}
+SELECT l_orderkey AS page, item::INTEGER AS row_seq, item::VARCHAR AS item_no, name AS description, format('{{:,}}', price) AS unit_price
+FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n FROM items) WHERE n > 1""")
 def q_layout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = spark.createDataFrame([(7, float(x), float(y), float(x + 5 * len(t)), float(y + 8), t) for t, x, y in PAGE], "page int, x0 double, y0 double, x1 double, y1 double, text string")
-    return layout.layout_rows(words).select("page", "row_seq", "item_no", "description", "unit_price")
+    return layout.layout_rows(pages(spark, sf_dir)).select("page", "row_seq", "item_no", "description", "unit_price")
 
 
-@query("""
-SELECT * FROM (VALUES ('Section 2: Notes & Clarifications', true, false), ('SECTION 2: TECHNICAL LITERATURE', false, false), ('Terms and Conditions', true, false), ('TOTAL', false, true), ('Sub Total', false, true), ('Total Conductivity Analyser', false, false)) t(line, after_table, total)""")
+#: phrases that end a table or not, behind a section number and in upper case on some rows
+_PHRASES = ["Notes & Clarifications", "Technical Literature", "Terms and Conditions", "Exclusions", "Total", "Sub Total", "Grand Total", "Total Conductivity", "Delivery Terms", "Gas Analyser"]
+
+
+@query("""WITH l AS (SELECT p_partkey, (['Notes & Clarifications', 'Technical Literature', 'Terms and Conditions', 'Exclusions', 'Total', 'Sub Total', 'Grand Total', 'Total Conductivity', 'Delivery Terms', 'Gas Analyser'])[(p_partkey % 10 + 1)::INT] AS phrase FROM part)
+SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'Section ' || p_partkey % 7 || ': ' ELSE '' END || CASE WHEN p_partkey % 4 = 0 THEN upper(phrase) ELSE phrase END || CASE WHEN p_partkey % 20 = 8 THEN ' for all the goods of this and any later offer' ELSE '' END AS line,
+  phrase IN ('Notes & Clarifications', 'Terms and Conditions', 'Exclusions', 'Delivery Terms') AND p_partkey % 20 <> 8 AS after_table, p_partkey % 3 <> 0 AND phrase IN ('Total', 'Sub Total', 'Grand Total') AS total FROM l""")
 def q_table_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ["Section 2: Notes & Clarifications", "SECTION 2: TECHNICAL LITERATURE", "Terms and Conditions", "TOTAL", "Sub Total", "Total Conductivity Analyser"]
-    return spark.createDataFrame([(x,) for x in rows], "line string").select("line", T.is_after_table_heading(F.col("line")).alias("after_table"), T.is_total_label(F.col("line")).alias("total"))
+    k = F.col("p_partkey")
+    phrase = F.get(F.array(*[F.lit(x) for x in _PHRASES]), (k % 10).cast("int"))
+    line = F.concat(F.when(k % 3 == 0, F.concat(F.lit("Section "), (k % 7).cast("string"), F.lit(": "))).otherwise(""), F.when(k % 4 == 0, F.upper(phrase)).otherwise(phrase), F.when(k % 20 == 8, " for all the goods of this and any later offer").otherwise(""))
+    return table(spark, sf_dir, "part").select("p_partkey", line.alias("line")).select("p_partkey", "line", T.is_after_table_heading(F.col("line")).alias("after_table"), T.is_total_label(F.col("line")).alias("total"))
 
 
 @query("""
-WITH l AS (SELECT conv_id, turn, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS ls FROM conversations WHERE role = 'user')
-SELECT conv_id, turn, ls[1] AS first_line, len(ls) AS n_lines FROM l""")
+WITH l AS (SELECT conv_id, turn, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS ls FROM conversations)
+SELECT conv_id, turn, ls[1] AS first_line, coalesce(len(ls), -1) AS n_lines FROM l""")
 def q_first_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines_ = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
-    return table(spark, sf_dir, "conversations").where("role = 'user'").select("conv_id", "turn", F.get(lines_, 0).alias("first_line"), F.size(lines_).cast("long").alias("n_lines"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.get(lines_, 0).alias("first_line"), F.coalesce(F.size(lines_), F.lit(-1)).cast("long").alias("n_lines"))

@@ -99,6 +99,10 @@ def extract_with(client: Callable[[str], str], docs: DataFrame, key: str, text:
     return docs.select(key, text).mapInPandas(run, f"{key} {docs.schema[key].dataType.simpleString()}, answer string, error string")
 
 
+#: Texts that count as a price.
+PRICE_TEXTS = ["quoted", "inclusive", "not used in a system"]
+
+
 def valid_products(df: DataFrame, column: str) -> DataFrame:
     """``df`` with ``products`` (variant objects) and ``accepted``: products with a name, a numeric quantity and a number, null or known text as price.
 
@@ -109,6 +113,6 @@ def valid_products(df: DataFrame, column: str) -> DataFrame:
     products = F.try_variant_get(parsed, "$.products", "array<variant>")
     text = lambda p, k: F.try_variant_get(p, f"$.{k}", "string")
     number = lambda p, k: F.try_variant_get(p, f"$.{k}", "double")
-    price = lambda p, k: text(p, k).isNull() | number(p, k).isNotNull() | F.lower(text(p, k)).isin("quoted", "included", "inclusive")
+    price = lambda p, k: text(p, k).isNull() | number(p, k).isNotNull() | F.lower(text(p, k)).isin(*PRICE_TEXTS)
     good = F.filter(products, lambda p: (F.coalesce(F.trim(text(p, "product_name")), F.lit("")) != "") & number(p, "quantity").isNotNull() & price(p, "unit_price") & price(p, "total_price"))
     return df.withColumn("products", good).withColumn("accepted", F.coalesce(F.size(products) == 0, F.lit(False)) | (F.coalesce(F.size("products"), F.lit(0)) > 0))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyloom.operators import backfill, bank, cleaning, examples, layout, lines
-from tallyloom.plans.fixtures import OFFER
+from tests.samples import OFFER
 
 
 def test_bank(spark):

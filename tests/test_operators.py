@@ -5,7 +5,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from tallyloom.operators import layout, lines, orders, pii, profile, resolve, rollup, scoring, suggest
-from tallyloom.plans.fixtures import OFFER
+from tests.samples import OFFER
 from tallyloom.sources import documents, paged, sinks
 from tallyloom.sources.tables import MissingInputs, read_csv, read_optional_csv, require
 from tallyloom.streaming import incremental
