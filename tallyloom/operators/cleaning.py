@@ -23,7 +23,8 @@ def tolerant(message: str) -> str:
     out = []
     for w in words:
         out.append("".join(r"\s*[-‐‑‒–—]\s*" if ch in "-–—" else ("[0Oo]" if ch in "0Oo" else "[1Il]" if ch in "1Il" else "\\" + ch if not ch.isalnum() else ch) for ch in w))
-    return r"(?i)" + r"\s+".join(out)
+    out = "".join(x if x.startswith(r"\s*[-") and x.endswith(r"]\s*") else x + r"\s+" for x in out)
+    return r"(?i)" + out.replace(r"\s+\s*[-", r"\s*[-").removesuffix(r"\s+")
 
 
 def without_messages(c: Column, messages: list[str]) -> Column:

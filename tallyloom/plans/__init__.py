@@ -24,4 +24,4 @@ def query(sql: str | None = None):
 
 def load() -> None:
     """Import the modules that register queries."""
-    from tallyloom.plans import bank, customers, documents, fixtures, scalars  # noqa: F401
+    from tallyloom.plans import bank, customers, documents, fixtures, scalars, values  # noqa: F401

@@ -27,23 +27,27 @@ def q_doc_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.document_profile(table(spark, sf_dir, "documents"), "doc_id", "text").drop("status", "warnings")
 
 
+#: a character eight times in a row has no back-reference in the other engine's patterns, so each distinct character is looked for
 WARN_SQL = """
 warned AS (
-  SELECT *, CASE WHEN s = '' THEN 'EMPTY' WHEN length(s) < 100 THEN 'VERY_SHORT' ELSE coalesce(list_aggregate(list_filter([CASE WHEN symbol_ratio >= 0.35 THEN 'HIGH_SYMBOL_RATIO' END, CASE WHEN alpha_ratio < 0.15 THEN 'LOW_ALPHABETIC_RATIO' END], lambda x: x IS NOT NULL), 'string_agg', '; '), '') END AS ocr FROM measured)"""
+  SELECT *, CASE WHEN s = '' THEN 'EMPTY' WHEN length(s) < 100 THEN 'VERY_SHORT' ELSE coalesce(array_to_string(list_filter([
+    CASE WHEN symbol_ratio >= 0.35 THEN 'HIGH_SYMBOL_RATIO' END, CASE WHEN alpha_ratio < 0.15 THEN 'LOW_ALPHABETIC_RATIO' END,
+    CASE WHEN len(list_filter(list_distinct(string_split(s, '')), lambda c: c NOT IN (chr(10), chr(13)) AND contains(s, repeat(c, 8)))) > 0 THEN 'REPEATED_CHARACTER' END,
+    CASE WHEN n_words > 100 AND len(list_filter(regexp_extract_all(s, '[\\p{L}\\p{N}_]+'), lambda x: regexp_full_match(x, '[A-Za-z]'))) / n_words > 0.25 THEN 'HIGH_SINGLE_CHARACTER_RATIO' END], lambda x: x IS NOT NULL), '; '), '') END AS ocr FROM measured
+), coded AS (
+  SELECT *, CASE WHEN s = '' THEN ['EMPTY_DOCUMENT'] ELSE list_filter([CASE WHEN length(s) < 100 THEN 'VERY_SHORT' END, CASE WHEN n_words < 20 THEN 'VERY_FEW_WORDS' END, CASE WHEN length(text) > 500000 THEN 'VERY_LARGE' END,
+    CASE WHEN contains(text, chr(0)) THEN 'NULL_CHARACTER' END, CASE WHEN regexp_matches(text, '\\n\\s*\\n\\s*\\n\\s*\\n') THEN 'EXCESSIVE_BLANK_LINES' END, CASE WHEN ocr <> '' THEN 'OCR_WARNING:' || ocr END], lambda x: x IS NOT NULL) END AS codes FROM warned)"""
 
 
 @query(f"WITH {PROFILE_SQL}, {WARN_SQL} SELECT doc_id, ocr FROM warned")
 def q_ocr_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Without the two codes that need back-references or look-around, which the other engine's patterns lack."""
-    codes = F.regexp_replace(T.ocr_warning(F.col("text")), r"(?:; )?(?:REPEATED_CHARACTER|HIGH_SINGLE_CHARACTER_RATIO)", "")
-    return table(spark, sf_dir, "documents").select("doc_id", codes.alias("ocr"))
+    return table(spark, sf_dir, "documents").select("doc_id", T.ocr_warning(F.col("text")).alias("ocr"))
 
 
-@query(f"WITH {PROFILE_SQL} SELECT CASE WHEN s = '' THEN 'EMPTY' WHEN length(s) < 100 OR n_words < 20 THEN 'SHORT' ELSE 'FINE' END AS size, count(*) AS n FROM measured GROUP BY 1")
+@query(f"WITH {PROFILE_SQL}, {WARN_SQL} SELECT doc_id, CASE WHEN s = '' THEN 'EMPTY' WHEN len(codes) > 0 THEN 'WARNING' ELSE 'OK' END AS status, array_to_string(codes, '; ') AS warnings FROM coded")
 def q_doc_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codes = T.suspicious(F.col("text"))
-    size = F.when(F.array_contains(codes, "EMPTY_DOCUMENT"), "EMPTY").when(F.array_contains(codes, "VERY_SHORT") | F.array_contains(codes, "VERY_FEW_WORDS"), "SHORT").otherwise("FINE")
-    return table(spark, sf_dir, "documents").groupBy(size.alias("size")).agg(F.count("*").alias("n"))
+    text = F.col("text")
+    return table(spark, sf_dir, "documents").select("doc_id", T.document_status(text).alias("status"), F.array_join(T.suspicious(text), "; ").alias("warnings"))
 
 
 @query("""WITH k AS (SELECT doc_id, md5(replace(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), chr(13) || chr(10), chr(10))) AS content_md5 FROM documents WHERE regexp_replace(text, '^\\s+|\\s+$', '', 'g') <> '')
@@ -59,10 +63,10 @@ def q_corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.corpus_statistics(docs, ["n_chars", "n_words"])
 
 
-@query(f"WITH {PROFILE_SQL} SELECT code, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN length(s) < 100 THEN 'VERY_SHORT' END, CASE WHEN n_words < 20 THEN 'VERY_FEW_WORDS' END], lambda x: x IS NOT NULL)) AS code FROM measured WHERE s <> '') GROUP BY code")
+@query(f"WITH {PROFILE_SQL}, {WARN_SQL} SELECT trim(code) AS code, count(*) AS n FROM (SELECT unnest(string_split(array_to_string(codes, ';'), ';')) AS code FROM coded) WHERE trim(code) <> '' GROUP BY 1")
 def q_warning_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select(F.array_join(T.suspicious(F.col("text")), ";").alias("warnings"))
-    return profile.histogram(rows, "warnings").where("code in ('VERY_SHORT', 'VERY_FEW_WORDS')")
+    return profile.histogram(rows, "warnings")
 
 
 @query("""SELECT doc_id, CASE WHEN contains(u, 'INR') OR contains(u, 'RS.') OR contains(u, 'RS ') OR contains(u, '₹') THEN 'INR' WHEN contains(u, 'USD') OR contains(u, '$') THEN 'USD' WHEN contains(u, 'EUR') OR contains(u, '€') THEN 'EUR' WHEN contains(u, 'GBP') OR contains(u, '£') THEN 'GBP' ELSE '' END AS currency
