@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions.units import UNIT_WORDS, any_of
+
 #: Labels that announce a document's fields, in the order in which they are tried.  Labels with a seller's own name are handed in.
 CUSTOMER_LABELS = ["customer", "customer name", "client", "client name", "bill to", "ship to", "buyer", "to"]
 SUBJECT_LABELS = ["subject", "sub", "re", "regarding"]
@@ -39,7 +41,7 @@ GRAND_TOTALS = ["grand total", "net total", "total amount", "final total", "tota
 #: Texts that stand for a price.
 PRICE_WORDS = ["quoted", "included", "inclusive", "not quoted", "existing", "tbd", "na", "n/a", "ls", "as per actual", "not used in a system"]
 ITEM_FIELDS = ["product", "make", "model", "version"]
-UNIT_WORD = re.compile(r"(?:Nos?|Pcs?|Pieces?|Sets?|Jobs?|Lots?|Units?|Each|EA|Kgs?|Grams?|mg|L|Ltrs?|Liters?|Met(?:er|ers)?|Mtrs?|MM|CM|KM|Sqm|Sq\.?m|Sqft|Sq\.?\s*ft|Tons?|Hours?|Hrs?|Days?|Months?|Years?)\.?", re.I)
+UNIT_WORD = re.compile(any_of(UNIT_WORDS) + r"\.?", re.I)
 QUANTITY = re.compile(rf"(\d+(?:\.\d+)?)\s*({UNIT_WORD.pattern})", re.I)
 ITEM_NUMBER = re.compile(r"\d+(?:\.\d+)*[.)]?")
 

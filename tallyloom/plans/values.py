@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import checks, ids, makes, money, similarity
 from tallyloom.functions import text as T
-from tallyloom.operators import bank, cleaning, examples, joins, pii, ranking
+from tallyloom.operators import backfill, bank, cleaning, examples, joins, pii, ranking
 from tallyloom.plans import query
 from tallyloom.sources import sinks, tables
 from tallyloom.sources.tables import table
@@ -270,3 +270,15 @@ def q_item_bank_slim(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_quotation_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _bank(spark, sf_dir)
     return bank.reasons_by_quotation(rows, bank.review(rows)).select("quotation_key", F.array_join("reasons", "; ").alias("reasons"))
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'SIEMENS AG' WHEN 1 THEN 'AMETEK' WHEN 2 THEN 'SICK GMBH' WHEN 3 THEN 'own' WHEN 4 THEN 'AMETEK' END AS make,
+  CASE WHEN p_partkey % 6 IN (0, 1, 2) THEN 'GX ' || p_size WHEN p_partkey % 6 = 3 THEN 'given' END AS model, CASE WHEN p_partkey % 4 = 0 THEN 'PN-' || p_partkey || '/7' END AS part_number FROM part""")
+def q_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Makes by label, behind a model, misread, by name and given ones; models that stop at a word, a count or another label."""
+    k, size = F.col("p_partkey") % 6, F.col("p_size").cast("string")
+    line = F.when(k == 0, F.concat(F.lit("\nMake : Siemens AG 7MB\nModel No: GX "), size, F.lit(" with display"))).when(k == 1, F.concat(F.lit("\nMODEL: GX "), size, F.lit(", AMETEK\nQty 2")))
+    line = line.when(k == 2, F.concat(F.lit("\nMfg- SICK GmbH probe\nModel- GX "), size, F.lit(" 2 Nos"))).when(k == 3, "\nMake: ABB\nModel: X").when(k == 4, " as FUJI or AMTEK").otherwise(" of any origin")
+    part_no = F.when(F.col("p_partkey") % 4 == 0, F.concat(F.lit("\nP/N: PN-"), F.col("p_partkey").cast("string"), F.lit("/7."))).otherwise("")
+    filled = backfill.backfilled(F.concat(F.col("p_name"), line, part_no), F.when(k == 3, "own").otherwise(""), F.when(k == 3, "given"), F.lit(None).cast("string"))
+    return table(spark, sf_dir, "part").withColumn("b", filled).select("p_partkey", F.upper("b.make").alias("made"), "b.model", "b.part_number").select("p_partkey", F.when(F.col("made") == "OWN", "own").otherwise(F.col("made")).alias("make"), "model", "part_number")
