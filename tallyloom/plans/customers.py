@@ -172,18 +172,18 @@ def q_rfq_base(spark: SparkSession, sf_dir: str) -> DataFrame:
   FROM based b LEFT JOIN index x ON b.request = x.request LEFT JOIN index y ON b.base = y.request
 ), told AS (
   SELECT *, CASE WHEN p_partkey % 11 = 0 THEN 'MISSING' WHEN p_partkey % 13 = 0 THEN 'OVERRIDE' WHEN n_partners > 1 THEN 'RFQ_AMBIGUOUS'
-    WHEN n_partners = 1 THEN CASE WHEN exact THEN 'RFQ_MATCH' ELSE 'RFQ_MATCH_BASE' END ELSE 'OPEN' END AS match_status FROM hit
+    WHEN n_partners = 1 THEN CASE WHEN exact THEN 'RFQ_MATCH' ELSE 'RFQ_MATCH_BASE' END WHEN p_partkey % 3 = 0 THEN 'EXACT' ELSE 'NO_MATCH' END AS match_status FROM hit
 )
-SELECT p_partkey, match_status, CASE WHEN match_status = 'OVERRIDE' THEN 1 WHEN match_status LIKE 'RFQ_MATCH%' THEN partner END AS matched_id,
-  CASE WHEN match_status LIKE 'RFQ_MATCH%' THEN order_pos END AS matched_order FROM told WHERE match_status <> 'OPEN'""")
+SELECT p_partkey, match_status, CASE WHEN match_status = 'OVERRIDE' THEN 1 WHEN match_status LIKE 'RFQ_MATCH%' THEN partner WHEN match_status = 'EXACT' THEN p_partkey % 100 END AS matched_id,
+  CASE WHEN match_status LIKE 'RFQ_MATCH%' THEN order_pos END AS matched_order FROM told""")
 def q_rfq_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
-    text = F.when(k % 11 == 0, "  ").when(k % 13 == 0, "The Known One").otherwise("zzzz")
+    text = F.when(k % 11 == 0, "  ").when(k % 13 == 0, "The Known One").when(k % 3 == 0, F.concat(F.lit("CUSTOMER # "), F.lpad((k % 100).cast("string"), 9, "0"))).otherwise("zzzz")
     quotes = _wanted(spark, sf_dir).withColumnRenamed("request", "quotation_number").withColumn("customer", text)
     master = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_custkey").alias("pos"))
     over = spark.createDataFrame([("the known one", 1)], "quotation_customer_text string, customer_id long")
     out = resolve.resolve_customers(quotes, master, _index(spark, sf_dir), over)
-    return out.where("match_status in ('MISSING', 'OVERRIDE', 'RFQ_AMBIGUOUS', 'RFQ_MATCH', 'RFQ_MATCH_BASE')").select("p_partkey", "match_status", "matched_id", "matched_order")
+    return out.select("p_partkey", "match_status", "matched_id", "matched_order")
 
 
 @query("""
