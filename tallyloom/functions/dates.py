@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import normalize_spaces
+from tallyloom.functions.text import let, normalize_spaces
 
 FIRST_YEAR, LAST_YEAR = 2015, 2027
 #: Spellings of months, one a common misspelling.
@@ -27,16 +27,24 @@ def _full_year(y: Column) -> Column:
 
 def parse_document_date(c: Column) -> Column:
     """Struct (date: ISO text or blank, ambiguous): day first where both readings are dates, and then marked."""
-    s = normalize_spaces(F.coalesce(c, F.lit("")))
-    part = lambda pattern, i: F.regexp_extract(s, pattern, i).try_cast("int")
     names = F.create_map(*[F.lit(x) for m, spellings in MONTHS.items() for t in spellings for x in (t, m)])
-    worded = _iso(_full_year(part(WORDED, 3)), F.try_element_at(names, F.lower(F.regexp_extract(s, WORDED, 2))), part(WORDED, 1))
-    a, b, d = part(NUMERIC, 1), part(NUMERIC, 2), part(NUMERIC, 3)
-    iso_like = _iso(a, b, d)
-    day_first, month_first = _iso(_full_year(d), b, a), _iso(_full_year(d), a, b)
-    numeric = F.when(a >= 1000, iso_like).otherwise(F.coalesce(day_first, month_first))
-    both = (a < 1000) & day_first.isNotNull() & month_first.isNotNull()
-    return F.struct(F.coalesce(F.when(s.rlike(WORDED), worded).otherwise(numeric), F.lit("")).alias("date"), F.coalesce(both & ~s.rlike(WORDED), F.lit(False)).alias("ambiguous"))
+
+    def read(s: Column) -> Column:
+        part = lambda pattern, i: F.regexp_extract(s, pattern, i)
+        month = F.try_element_at(names, F.lower(part(WORDED, 2)))
+        worded = F.struct(F.lit(True).alias("worded"), part(WORDED, 1).try_cast("int").alias("a"), month.alias("b"), part(WORDED, 3).try_cast("int").alias("c"))
+        numeric = F.struct(F.lit(False).alias("worded"), *[part(NUMERIC, i + 1).try_cast("int").alias(x) for i, x in enumerate("abc")])
+        return let(F.when(s.rlike(WORDED), worded).otherwise(numeric), told)
+
+    def told(x: Column) -> Column:
+        """Both readings of the three numbers; a worded month and a leading year leave one."""
+        year_first = ~x["worded"] & (x["a"] >= 1000)
+        day_first = F.when(year_first, _iso(x["a"], x["b"], x["c"])).otherwise(_iso(_full_year(x["c"]), x["b"], x["a"]))
+        month_first = F.when(~x["worded"] & (x["a"] < 1000), _iso(_full_year(x["c"]), x["a"], x["b"]))
+        found = F.struct(day_first.alias("d"), month_first.alias("m"))
+        return let(found, lambda y: F.struct(F.coalesce(y["d"], y["m"], F.lit("")).alias("date"), (y["d"].isNotNull() & y["m"].isNotNull()).alias("ambiguous")))
+
+    return let(normalize_spaces(F.coalesce(c, F.lit(""))), read)
 
 
 def parse_export_date(c: Column) -> Column:

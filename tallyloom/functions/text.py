@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ WORD = r"[\p{L}\p{N}_]"
 BLANKS = "".join(map(chr, [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it is read."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
@@ -85,9 +92,10 @@ USUAL_PUNCTUATION = ".,;:!?+-*/%()[]{}<>_=|&@#$₹€£'\"/\\"
 
 
 def _share(c: Column, drop: str) -> Column:
-    solid = F.regexp_replace(c, WS, "")
-    n = F.length(solid)
-    return F.when(n > 0, F.length(F.regexp_replace(solid, drop, "")) / n).otherwise(0.0)
+    """Share of the characters other than white space that the class ``drop`` leaves; runs are dropped whole, which takes fewer matches."""
+    solid = F.length(F.regexp_replace(c, f"{WS}+", ""))
+    left = F.length(F.regexp_replace(c, f"[{WS}{drop}]+", ""))
+    return F.when(solid > 0, left / solid).otherwise(0.0)
 
 
 def symbol_ratio(c: Column) -> Column:

@@ -9,7 +9,7 @@ from tallyloom.functions import money
 from tallyloom.functions import text as T
 from tallyloom.operators import pii, profile, suggest
 from tallyloom.plans import query
-from tallyloom.sources.tables import table
+from tallyloom.sources.tables import spread, table
 
 USUAL = "[\\p{L}\\p{N}.,;:!?+*/%()\\[\\]{}<>_=|&@#$₹€£''\"\\\\-]"
 PROFILE_SQL = f"""
@@ -24,7 +24,7 @@ base AS (
 
 @query(f"WITH {PROFILE_SQL} SELECT doc_id, n_chars::INT AS n_chars, n_words::INT AS n_words, n_lines::INT AS n_lines, n_pages::INT AS n_pages, symbol_ratio, alpha_ratio FROM measured")
 def q_doc_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.document_profile(table(spark, sf_dir, "documents"), "doc_id", "text").drop("status", "warnings")
+    return profile.document_profile(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text").drop("status", "warnings")
 
 
 #: a character eight times in a row has no back-reference in the other engine's patterns, so each distinct character is looked for
@@ -41,13 +41,13 @@ warned AS (
 
 @query(f"WITH {PROFILE_SQL}, {WARN_SQL} SELECT doc_id, ocr FROM warned")
 def q_ocr_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", T.ocr_warning(F.col("text")).alias("ocr"))
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", T.ocr_warning(F.col("text")).alias("ocr"))
 
 
 @query(f"WITH {PROFILE_SQL}, {WARN_SQL} SELECT doc_id, CASE WHEN s = '' THEN 'EMPTY' WHEN len(codes) > 0 THEN 'WARNING' ELSE 'OK' END AS status, array_to_string(codes, '; ') AS warnings FROM coded")
 def q_doc_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
-    return table(spark, sf_dir, "documents").select("doc_id", T.document_status(text).alias("status"), F.array_join(T.suspicious(text), "; ").alias("warnings"))
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", T.document_status(text).alias("status"), F.array_join(T.suspicious(text), "; ").alias("warnings"))
 
 
 @query("""WITH k AS (SELECT doc_id, md5(replace(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), chr(13) || chr(10), chr(10))) AS content_md5 FROM documents WHERE regexp_replace(text, '^\\s+|\\s+$', '', 'g') <> '')
@@ -82,7 +82,7 @@ STOP = ["THE", "AND", "FOR", "WITH"]
 p AS (SELECT doc_id, unnest(list_distinct(list_concat(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]), list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])))) AS phrase FROM w)
 SELECT phrase, count(*) AS n_rows FROM p GROUP BY phrase ORDER BY n_rows DESC, phrase LIMIT 60""")
 def q_ngram_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suggest.phrase_frequencies(table(spark, sf_dir, "documents"), "text", STOP)
+    return suggest.phrase_frequencies(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "text", STOP)
 
 
 @query("""SELECT conv_id, turn, line_no, line FROM (SELECT conv_id, turn, unnest(range(len(ls))) AS line_no, unnest(ls) AS line FROM (SELECT conv_id, turn, list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') AS ls FROM conversations))""")

@@ -10,6 +10,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, least: int | None = None) -> DataFrame:
+    """``df`` in at least as many partitions as the cluster runs tasks, for heavy work over tables of a few files; larger tables stay as they are."""
+    wanted = least or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+
+
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text, the first line as header, line breaks inside of quotes kept, a byte-order mark dropped; blanks are blank, not null."""
     return spark.read.csv(path, header=True, multiLine=True, escape='"', inferSchema=False, nullValue="\x00", emptyValue="").na.fill("")
