@@ -57,7 +57,9 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("body").isNotNull(), line("Sr No", "Description", "Qty", "Unit Price", "Total Price", F.col("body"), "Grand Total", "Note:", "1. Prices are firm", "2. Freight is extra")),
         F.concat(F.lit("Total Amount: "), grouped(F.floor("o_totalprice"))),
     )
-    return rows.select(F.concat(F.lit("order-"), k.cast("string"), F.lit(".txt")).alias("source_path"), text.alias("text"))
+    # texts are small beside the work on them, so they are dealt by number, which adaptive execution leaves alone
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.select(F.concat(F.lit("order-"), k.cast("string"), F.lit(".txt")).alias("source_path"), text.alias("text")).repartition(parts)
 
 
 @query(f"""WITH {ITEMS_SQL}
