@@ -56,12 +56,16 @@ def parse_export_date(c: Column) -> Column:
 
 def resolve_date(export: Column, document: Column) -> Column:
     """Struct (date, source, ambiguous, year, month): the export's date counts before the document's."""
-    e, d = parse_export_date(export), parse_document_date(document)
-    date = F.when(e != "", e).otherwise(d["date"])
-    return F.struct(
-        date.alias("date"),
-        F.when(e != "", "ERP_ORDER").when(d["date"] != "", "PARSED_DOC").otherwise("NONE").alias("source"),
-        ((e == "") & d["ambiguous"]).alias("ambiguous"),
-        F.substring(date, 1, 4).alias("year"),
-        F.substring(date, 1, 7).alias("month"),
-    )
+
+    def told(x: Column) -> Column:
+        date = F.when(x["e"] != "", x["e"]).otherwise(x["d"]["date"])
+        return F.struct(
+            date.alias("date"),
+            F.when(x["e"] != "", "ERP_ORDER").when(x["d"]["date"] != "", "PARSED_DOC").otherwise("NONE").alias("source"),
+            ((x["e"] == "") & x["d"]["ambiguous"]).alias("ambiguous"),
+            F.substring(date, 1, 4).alias("year"),
+            F.substring(date, 1, 7).alias("month"),
+        )
+
+    # each text is read once, the document's only where the export gives no date
+    return let(parse_export_date(export), lambda e: let(F.struct(e.alias("e"), F.when(e == "", parse_document_date(document)).alias("d")), told))

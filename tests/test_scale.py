@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from tallyloom.operators import lines
+from tallyloom.functions import dates
+from tallyloom.operators import bank, layout, lines
 from tests.samples import OFFER
 
 
@@ -21,3 +22,15 @@ def test_review_reads_documents_once(spark):
     assert sorted(map(tuple, whole.collect())) == sorted(want) == sorted(map(tuple, pruned.collect()))
     failed = lines.parse_documents(docs.where("source_path = 'a'")).withColumns({"error": F.lit("PARSER_ERROR: x"), "customer": F.lit(None).cast("string"), "items": F.expr("filter(items, x -> false)"), "warnings": F.expr("filter(warnings, x -> false)")})
     assert [tuple(r) for r in lines.review_of(failed).collect()] == [("a", "document", "PARSER_ERROR: x")]
+
+
+
+
+def test_bank_reads_dates_once_for_each_document(spark):
+    docs = spark.createDataFrame([("a", "a", "Q24W10132R3", "05.06.2025", "c", "7", "1", 0), ("b", "b", "-", "31.06.2025", "c", "7", "3", 0)], "source_path string, source_file string, quotation_number string, quotation_date string, customer string, matched_id string, matched_order_id string, pos int")
+    orders = spark.createDataFrame([(1, "won", None, "7"), (2, "won", "2025-13-01", "7"), (3, "won", "2025-01-02", "8")], "order_id int, order_status string, order_date string, partner_id string")
+    items = lines.items_of(lines.parse_documents(spark.createDataFrame([("a", OFFER), ("b", OFFER), ("z", OFFER)], "source_path string, text string"))).where("item_no = '1'")
+    built = bank.build(items, docs, orders)
+    got = {(r["source_path"], r["order_id"], r["reason"]) for r in bank.review(built).collect()}
+    assert got == {("a", "1", "DATE_AMBIGUOUS_DAY_MONTH"), ("z", None, "DATE_MISSING"), ("z", None, "NO_MATCHED_CUSTOMER"), (None, "2", "DATE_UNPARSEABLE")}
+    assert _plan(bank.review(built)).count(dates.WORDED) <= 12  # one reading for documents, one for orders, one for items without a document
