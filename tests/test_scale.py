@@ -34,3 +34,18 @@ def test_bank_reads_dates_once_for_each_document(spark):
     got = {(r["source_path"], r["order_id"], r["reason"]) for r in bank.review(built).collect()}
     assert got == {("a", "1", "DATE_AMBIGUOUS_DAY_MONTH"), ("z", None, "DATE_MISSING"), ("z", None, "NO_MATCHED_CUSTOMER"), (None, "2", "DATE_UNPARSEABLE")}
     assert _plan(bank.review(built)).count(dates.WORDED) <= 12  # one reading for documents, one for orders, one for items without a document
+
+
+def test_pages_are_cut_from_batches(spark):
+    words = [(p, x, 100.0 + 20 * i, x + 5 * len(t), 108.0 + 20 * i, t) for p, n in ((1, 2), (2, 5), (None, 3), (4, 1), (5, 4)) for i in range(n) for x, t in ((0.0, str(i + 1)), (60.0, "Pump"), (260.0, f"{i + 1},500"))]
+    df = spark.createDataFrame(words, "page long, x0 double, y0 double, x1 double, y1 double, text string")
+    assert "InPandas" not in _plan(layout.layout_rows(df))
+    want = [(p, s + 1, r["item_no"], r["description"], r["unit_price"]) for p in (1, 2, None, 4, 5) for s, r in enumerate(layout.rows_of_page([layout.Word(*w[1:]) for w in words if w[0] == p]))]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in ("1", "7", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            got = layout.layout_rows(df).select("page", "row_seq", "item_no", "description", "unit_price").collect()
+            assert len(want) == 14 and sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
