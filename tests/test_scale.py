@@ -24,6 +24,25 @@ def test_review_reads_documents_once(spark):
     assert [tuple(r) for r in lines.review_of(failed).collect()] == [("a", "document", "PARSER_ERROR: x")]
 
 
+def test_reader_finds_a_lines_facts_once(spark):
+    reader, learned = lines.Reader(only=["items"]), []
+    line, cell = reader.line, reader.cell
+    reader.line, reader.cell = lambda x: learned.append(x) or line(x), lambda x: learned.append(x) or cell(x)
+    first, looked = reader.document(OFFER.splitlines()), len(learned)
+    again = [reader.document(OFFER.splitlines()) for _ in range(5)]
+    assert all(x["items"] == first["items"] for x in again) and all(set(x) <= set("0123456789,") for x in learned[looked:])
+    docs = spark.createDataFrame([("a", OFFER)], "source_path string, text string")
+    made = lines.items_of(lines.parse_documents(docs, only=["items"], item_fields=["item_no", "make", "total_price"]))
+    assert [tuple(r) for r in made.collect()] == [("a", 0, "1", "FERROX", 20000.0), ("a", 1, "2", "", 5500.0), ("a", 2, "3", "", None)]
+
+
+def test_document_fields_alone_build_no_items(spark, monkeypatch):
+    wanted = ["customer", "subject", "quotation_number", "boq_detected", "document_confidence"]
+    reader = lines.Reader(only=wanted)
+    monkeypatch.setattr(reader, "item", lambda *_: 1 / 0)
+    assert {k: reader.document(OFFER.splitlines())[k] for k in wanted} == {k: lines.parse_lines(OFFER.splitlines())[k] for k in wanted}
+    docs = spark.createDataFrame([("a", OFFER), ("b", None)], "source_path string, text string")
+    assert [tuple(r) for r in lines.parse_documents(docs, only=wanted).orderBy("source_path").collect()] == [("a", "Blue Harbour Works", "Offer for analysers", "Q24W10132R3", True, "HIGH"), ("b", "", "", "", False, "LOW")]
 
 
 def test_bank_reads_dates_once_for_each_document(spark):
