@@ -94,3 +94,12 @@ def test_items_with_like_lines_are_planned_once(spark, monkeypatch):
 def test_offers_are_ordered_without_an_interpreted_comparison(spark):
     plan = _plan(fixtures.offers(spark, "/root/testdata/sf0.001"))
     assert "sort_array(" in plan and "array_sort(" not in plan
+
+
+def test_the_first_item_settles_that_a_table_has_items(monkeypatch):
+    reader, looked = lines.Reader(only=["document_confidence"]), []
+    cell = reader.cell
+    monkeypatch.setattr(reader, "cell", lambda x: looked.append(x) or cell(x))
+    assert reader.document(OFFER.splitlines())["document_confidence"] == "HIGH" and looked == ["Qty", "Unit Price", "Total Price", "1", "Gas analyser"]
+    noted = "Description\nRate\nNote:\n1. a\n2.\n"
+    assert [lines.Reader(only=["document_confidence"]).document((noted + x).splitlines())["document_confidence"] for x in ("", "1\nPump")] == ["LOW", "MEDIUM"]
