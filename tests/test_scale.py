@@ -103,3 +103,26 @@ def test_the_first_item_settles_that_a_table_has_items(monkeypatch):
     assert reader.document(OFFER.splitlines())["document_confidence"] == "HIGH" and looked == ["Qty", "Unit Price", "Total Price", "1", "Gas analyser"]
     noted = "Description\nRate\nNote:\n1. a\n2.\n"
     assert [lines.Reader(only=["document_confidence"]).document((noted + x).splitlines())["document_confidence"] for x in ("", "1\nPump")] == ["LOW", "MEDIUM"]
+
+
+def test_lines_of_one_shape_are_read_once(monkeypatch):
+    def offer(n, date, amount, buyer="Works Customer"):
+        return f"Quotation No: Q24W{n:08}R1 dated today\nDate: {date}\nTo:\nKind Attention: Mr. A. Sample {n}\n{buyer} {n:09}\nSubject: Offer  for order {n}\nDescription\nRate\n1\nPump\n5 Nos\n{n:,}\nGrand Total {amount}".splitlines()
+
+    reader, learned, skipped = lines.Reader(only=lines.FIELDS), [], []
+    line, skippable = reader.line, reader.skippable
+    monkeypatch.setattr(reader, "line", lambda x: learned.append(x) or line(x))
+    reader.document(offer(1234, "05.06.2025", "1,900.50"))
+    looked = len(learned)
+    monkeypatch.setattr(reader, "skippable", lambda x, k: skipped.append(x) or skippable(x, k))
+    for n, date, amount, want in ((5678, "17.08.2024", "2,345.75", 2345.75), (9999, "30.11.2023", "9,999.99", 9999.99)):
+        got = reader.document(offer(n, date, amount))
+        assert (got["quotation_number"], got["quotation_date"], got["customer"], got["grand_total"]) == (f"Q24W{n:08}R1", date, f"Works Customer {n:09}", want)
+        assert got["subject"] == f"Offer for order {n}"  # other blanks than on its line
+        assert (got["items"][0].description, got["items"][0].total_price) == ("Pump", n)
+    assert len(learned) == looked and all(x.startswith("Offer") for x in skipped)
+    # another length is another shape; only ASCII digits are alike
+    assert reader.document(["Total: 7"])["grand_total"] is None and reader.document(["Grand Total: 71"])["grand_total"] == 71 and reader.document(["Grand Total: ٣"])["grand_total"] == 3
+    # labels with digits see which digit it is
+    own = lines.Reader(number_labels=["form 7 no", "ref"], only=["quotation_number"])
+    assert [own.document([x])["quotation_number"] for x in ("form 7 no: Q5", "form 8 no: Q5", "ref: Q6")] == ["Q5", "", "Q6"]
